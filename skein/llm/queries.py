@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import simhash
+from skein.llm import chat, decontaminate, fitting, licences, mixing, quality, simhash, tokens, toxicity
+from skein.llm.common import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +23,90 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    table = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    template = chat.ChatTemplate()
+    formatted = written(chat.format_branches(chat.from_turns(table.unionByName(own)), template), "chat")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for r in b.to_pylist():
+                turns = template.parse(r["formatted"])
+                loss = template.masked(r["formatted"], [(s["start"], s["length"]) for s in r["loss_spans"]])
+                whole = "".join(f"{role}\n{text}\n" for role, text in turns)
+                rows.append((r["tree"], len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(r["formatted"])))
+            cols = list(zip(*rows, strict=True)) or [[]] * 6
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+    return formatted.select("tree", "formatted", "loss_spans").mapInArrow(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
+def _op3_sql() -> str:
+    t = chat.ChatTemplate()
+    marks = "array[" + ", ".join(f"'{c}'" for c in t.control) + "]"
+
+    def escapes(x: str) -> str:  # added by escaping: one for each backslash and control string
+        return f"(length({x}) - length(replace({x}, chr(92), '')) + list_sum(list_transform({marks}, lambda c: (length({x}) - length(replace({x}, c, ''))) // length(c))))"
+
+    return f"""
+with own(conv_id, turn, role, text) as (values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from (select conv_id, turn, role, text from conversations union all select * from own))
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum({len(t.start) + 1 + len(t.end)} + length(role) + (length(role) - length(replace(role, chr(10), ''))) + {escapes("role")} + length(text) + {escapes("text")})::bigint as formatted_chars
+from t group by conv_id"""
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", fitting.held_out(4, 2).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.fresh_path(spark)
+    tokens.write_tokens(_table(spark, sf_dir, "documents"), path, str(public_tokenizers.path("byte_bpe_50k.json")))
+    return tokens.read_digests(spark, path)
+
+
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", fitting.held_out(5, 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_chat_formatting": op3_chat_formatting,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_token_ids": op7_token_ids,
+    "op8_licence_scan": op8_licence_scan,
+    "op9_toxicity": op9_toxicity,
+    "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_chat_formatting": _op3_sql(),
+    "op8_licence_scan": licences.oracle_sql(),
+}
