@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import chat, decontaminate, fitting, licences, mixing, quality, simhash, tokens, toxicity
+from skein.llm import chat, decontaminate, fitting, licences, mixing, quality, simhash, suffixes, tokens, topk, toxicity
 from skein.llm.common import written
 
 
@@ -23,6 +23,18 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+_OP2_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+  where vec_id is not null and embedding is not null and list_count(embedding) = len(embedding) and list_bool_and(list_transform(embedding, lambda x: isfinite(x)))),
+s as (select q.vec_id as query_id, c.vec_id as vec_id, list_dot_product(q.v, c.v)::bigint as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id)
+select query_id, rank::integer as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20"""
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -70,6 +82,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fitting.held_out(4, 2).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -97,8 +114,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_token_ids": op7_token_ids,
     "op8_licence_scan": op8_licence_scan,
@@ -107,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_exact_top_k": _OP2_SQL,
     "op3_chat_formatting": _op3_sql(),
     "op8_licence_scan": licences.oracle_sql(),
 }
