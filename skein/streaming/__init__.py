@@ -1 +1,59 @@
-"""skein streaming."""
+"""Incremental forms: result folding, journals, overlapping harvests, staleness."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from skein.operators import manifest
+from skein.sources import snapshot
+
+
+def fold_results(events: DataFrame, checkpoint: str, read: Callable[[], DataFrame], write: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
+    """Fold a stream of task results into the snapshot, batch by batch.
+
+    write(snapshot, batch) must replace the snapshot of that batch number, so a repeated batch changes nothing.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        write(manifest.apply_results(read(), manifest.fold_events(batch)), number)
+
+    return events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def stream_journal(spark: SparkSession, root: str, own: str | None = None) -> DataFrame:
+    """(device, segment, id) of segments as they appear; the checkpoint is the cursor of every device."""
+    lines = spark.readStream.schema("value string").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").text(root)
+    return snapshot._journal(lines.select("value", F.col("_metadata.file_path").alias("path")), None, own)
+
+
+def without_repeats(stream: DataFrame, key: str, time: str, overlap: str = "2 days") -> DataFrame:
+    """Rows of overlapping harvests once each. A time without zone is cast, as watermarks need."""
+    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
+    return timed.withWatermark(time, overlap).dropDuplicatesWithinWatermark([key])
+
+
+def stream_log(spark: SparkSession, root: str) -> DataFrame:
+    """(id, converter) of fallback lines as a log grows by files."""
+    from skein.functions.text import fallback_in_line
+
+    lines = spark.readStream.schema("value string").text(root)
+    return lines.select(fallback_in_line(F.col("value")).alias("f")).where("f.id is not null").select("f.*")
+
+
+def next_start(watermark: str | None, latest: str | None, overlap_days: int, explicit: str | None = None) -> str | None:
+    """First day of the next harvest: as told, else the watermark or the latest date, less the overlap."""
+    import datetime as dt
+
+    if explicit:
+        return explicit
+    base = watermark or latest
+    return None if base is None else (dt.date.fromisoformat(base[:10]) - dt.timedelta(days=overlap_days)).isoformat()
+
+
+def next_watermark(current: str | None, seen_latest: str | None, complete: bool, dry_run: bool) -> str | None:
+    """The watermark moves only after a complete run that wasn't a rehearsal."""
+    return seen_latest if complete and not dry_run and seen_latest else current
