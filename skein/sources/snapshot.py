@@ -23,17 +23,22 @@ META = (
 WORKER = "slot int, pid int, processed long, done long, failed long, no_pdf long, last_paper string, started_at string, updated_at string"
 
 
+def _parsed(texts: DataFrame, schema: str) -> DataFrame:
+    """(value, _r): each text as one JSON object; _r._corrupt is set where it isn't one."""
+    parsed = F.from_json("value", schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    good = F.trim("value").startswith("{")
+    return texts.where(F.trim("value") != "").withColumn("_r", F.when(good, parsed)).withColumn("_good", F.col("_r").isNotNull() & F.col("_r._corrupt").isNull())
+
+
 def read_snapshot(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Good records of a JSON Lines snapshot; blank and malformed lines are left out and don't count to the limit."""
-    raw = spark.read.schema(SNAPSHOT + ", _corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    good = raw.where("_corrupt is null").drop("_corrupt")
+    good = _parsed(spark.read.text(path), SNAPSHOT).where("_good").select("_r.*").drop("_corrupt")
     return good if limit is None else good.limit(limit)
 
 
 def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The lines that read_snapshot leaves out, for a log."""
-    raw = spark.read.schema("id string, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return raw.where("_corrupt is not null").select("id", "_corrupt")
+    """(line): what read_snapshot leaves out, for a log."""
+    return _parsed(spark.read.text(path), SNAPSHOT).where("not _good").select(F.col("value").alias("line"))
 
 
 def read_oai(spark: SparkSession, path: str) -> DataFrame:
@@ -116,8 +121,8 @@ def _journal(lines: DataFrame, cursors: DataFrame | None, own: str | None) -> Da
 
 def read_json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One row for each JSON file (markers, plans, worker states, metadata); unreadable files are left out."""
-    raw = spark.read.schema(schema + ", _corrupt string").option("multiLine", "true").option("recursiveFileLookup", "true").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return raw.where("_corrupt is null").drop("_corrupt")
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    return _parsed(texts, schema).where("_good").select("_r.*").drop("_corrupt")
 
 
 def fetched_pdf(files: DataFrame) -> DataFrame:

@@ -28,8 +28,12 @@ def test_snapshot_reader(spark, tmp_path):
     p = tmp_path / "s.jsonl"
     p.write_text('{"id": "1", "title": "t"}\n\n{not json}\n{"id": "2", "versions": [{"version": "v1", "created": "x"}]}\n')
     assert sorted(r.id for r in snapshot.read_snapshot(spark, str(p)).collect()) == ["1", "2"]
-    assert snapshot.read_snapshot(spark, str(p), 1).count() == 1
-    assert [r._corrupt for r in snapshot.malformed_lines(spark, str(p)).collect()] == ["{not json}"]
+    assert snapshot.read_snapshot(spark, str(p), 1).count() == 1 and snapshot.read_snapshot(spark, str(p)).count() == 2
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "worker-1.json").write_text('{"slot": 1,\n "done": 5}')
+    (tmp_path / "w" / "worker-2.json").write_text('{"slot": 2, "do')
+    assert [r.done for r in snapshot.read_json_documents(spark, str(tmp_path / "w"), snapshot.WORKER).collect()] == [5]
+    assert [r.line for r in snapshot.malformed_lines(spark, str(p)).collect()] == ["{not json}"]
 
 
 def test_oai_and_feed(spark, tmp_path):
