@@ -85,12 +85,11 @@ class CharModel:
 
 
 def grams(word: str) -> Iterator[str]:
-    """The word and its parts of 4 to 6 letters, its edges marked."""
+    """The word and its beginnings of three to six letters."""
     yield "=" + word
-    marked = f"^{word}$"
-    for n in (4, 5, 6):
-        for i in range(len(marked) - n + 1):
-            yield marked[i : i + n]
+    for n in (3, 4, 5, 6):
+        if len(word) > n:
+            yield word[:n]
 
 
 class Restorer:
@@ -134,24 +133,20 @@ class Restorer:
 
 
 class Words:
-    """Log-odds of words and word parts, cautious about rare ones: the lower bound of the toxic share among balanced classes."""
+    """Log-odds of words and their beginnings, cautious about rare ones: the lower bound of the toxic share among balanced classes."""
 
     def __init__(self, sample: list[tuple[set[str], int]], z: float = 1.64):
         pos, neg = Counter(), Counter()
         n = [max(1, sum(1 for _, y in sample if y == c)) for c in (0, 1)]
-        known: dict[str, frozenset[str]] = {}
         for words, y in sample:
-            own: set[str] = set()
-            for w in words:
-                g = known.get(w)
-                if g is None:
-                    g = known[w] = frozenset(grams(w))
-                own |= g
-            (pos if y else neg).update(own)
+            if y:
+                pos.update({g for w in words for g in grams(w)})
+        pos = Counter({g: p for g, p in pos.items() if p >= 3})
+        for words, y in sample:
+            if not y:
+                neg.update({g for w in words for g in grams(w) if g in pos})
         self.weight: dict[str, float] = {}
         for g, p in pos.items():
-            if p < 3:
-                continue
             a, b = p, neg.get(g, 0) * n[1] / n[0]
             t = a + b
             share = a / t
@@ -227,7 +222,7 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     return counts
 
 
-def fit(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, per_class: int = 3000, max_bytes: int = 1 << 16, doc_id: str = "doc_id", text: str = "text") -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, per_class: int = 2000, max_bytes: int = 1 << 15, doc_id: str = "doc_id", text: str = "text") -> ToxicityModel:
     """A model from at most per_class labelled rows of each class outside the held-out fold."""
     sample, counts = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), parts) != part, per_class, max_bytes, doc_id, text)
     return ToxicityModel(corpus_counts(docs, text), sample, counts)
