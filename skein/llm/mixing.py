@@ -1,9 +1,10 @@
-"""Mixing sources to target weights: Pfair windows, earliest deadline first, in independent segments."""
+"""Mixing sources to target weights: Pfair windows, earliest deadline first, in independent periods."""
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from math import gcd
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -12,84 +13,71 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import P, written
 
-#: Rows in a block, slots in a segment, unit of the integer weights.
-BLOCK_DOCS, SEGMENT, UNIT = 8, 1 << 15, 1 << 32
+#: Rows in a block; resolution of the weights, which bounds the period of a schedule.
+BLOCK_DOCS, UNIT = 8, 1 << 16
 
 
-def integer_weights(weights: dict[str | None, float]) -> dict[str | None, int]:
-    """Weights as positive integers over a common unit, so that windows are exact."""
+def integer_weights(weights: dict[str | None, float], unit: int = UNIT) -> dict[str | None, int]:
+    """Weights as positive multiples of 1 / unit of their sum, divided by what they share."""
     total = sum(weights.values())
-    return {s: max(1, round(w / total * UNIT)) for s, w in weights.items()}
+    w = {s: max(1, round(x / total * unit)) for s, x in weights.items()}
+    share = gcd(*w.values()) if w else 1
+    return {s: x // share for s, x in w.items()}
 
 
-def boundary(done: list[int], w: list[int], t: int, last: set[int]) -> list[int]:
-    """Blocks of each source finished by slot t: each count is the floor or ceiling of its share, none falls.
+def earliest_deadline(w: list[int], slots: int, most: list[int] | None = None) -> list[int]:
+    """The source of each slot, from slot 0 on: at most `slots`, ended early when a source has its `most` blocks.
 
-    done holds the counts at an earlier boundary. Spare slots go to sources in `last` (those whose
-    rows end here), then by the earliest deadline.
+    Block j of a source with share s of the weights has the window [floor(j / s), ceil((j + 1) / s)).
+    On one processor earliest deadline first meets all deadlines, so after any number of slots every
+    source is less than one block from its share.
     """
     total = sum(w)
-    n = [max(x * t // total, d) for x, d in zip(w, done, strict=True)]
-    spare = t - sum(n)
-    free = [i for i, x in enumerate(w) if n[i] * total < x * t]
-    free.sort(key=lambda i: (i not in last, -(-(n[i] + 1) * total // w[i]), i))
-    for i in free[:spare]:
-        n[i] += 1
-    if sum(n) != t:
-        raise AssertionError("no valid boundary")
-    return n
-
-
-def plan(blocks: dict[str | None, int], weights: dict[str | None, int], segment: int = SEGMENT) -> Iterator[tuple]:
-    """Segments of the schedule: (slot, from, to, sources, weights, counts at start, counts at end, block offsets).
-
-    A phase runs until a source has no block left; then the others go on with their weights
-    renormalised, so every block of every source is placed. Each phase ends at least one source.
-    Segments know their counts at both ends, and can be scheduled apart.
+    ready = [(-(-total // x), i, 0) for i, x in enumerate(w)]
+    heapq.heapify(ready)
+    wait: list[tuple[int, int, int]] = []
+    out = []
+    for t in range(slots):
+        while wait and wait[0][0] <= t:
+            _, i, j = heapq.heappop(wait)
+            heapq.heappush(ready, (-(-(j + 1) * total // w[i]), i, j))
+        _, i, j = heapq.heappop(ready)
+        out.append(i)
+        if most and j + 1 >= most[i]:
+            break
+        heapq.heappush(wait, ((j + 1) * total // w[i], i, j + 1))
+    return out
+
+
+def plan(blocks: dict[str | None, int], weights: dict[str | None, int]) -> Iterator[tuple[int, int, list, list[int], list[int]]]:
+    """Segments of the schedule: (first slot, slots, sources, weights, blocks of each source placed before).
+
+    A phase runs until a source has no block left; then the others go on with their weights, so
+    every block of every source is placed. After a whole period, as many slots as the weights'
+    sum, each source has exactly its weight in blocks, so periods are alike and can be scheduled
+    apart. Only the broken period that ends a phase is worked out here, to see what is left.
     """
     left = {s: n for s, n in sorted(blocks.items(), key=lambda x: (x[0] is not None, x[0] or "")) if n}
-    offset = dict.fromkeys(left, 0)
+    done = dict.fromkeys(left, 0)
     slot = 0
     while left:
         names = list(left)
-        w = [weights[s] for s in names]
-        total = sum(w)
-        length = min(left[s] * total // weights[s] for s in names)
-        last = {i for i, s in enumerate(names) if -(-w[i] * length // total) >= left[s]}
-        done, t = [0] * len(names), 0
-        while t < length:
-            to = min(length, t + segment)
-            after = boundary(done, w, to, last if to == length else set())
-            yield slot + t, t, to, names, w, done, after, [offset[s] for s in names]
-            done, t = after, to
-        for s, n in zip(names, done, strict=True):
-            offset[s] += n
-            left[s] -= n
+        share = gcd(*(weights[s] for s in names))
+        w = [weights[s] // share for s in names]
+        for _ in range(min(left[s] // x for s, x in zip(names, w, strict=True))):
+            yield slot, sum(w), names, w, [done[s] for s in names]
+            slot += sum(w)
+            for s, x in zip(names, w, strict=True):
+                done[s] += x
+                left[s] -= x
+        if all(left.values()):
+            part = earliest_deadline(w, sum(w), [left[s] for s in names])
+            yield slot, len(part), names, w, [done[s] for s in names]
+            slot += len(part)
+            for i in part:
+                done[names[i]] += 1
+                left[names[i]] -= 1
         left = {s: n for s, n in left.items() if n}
-        slot += length
-
-
-def earliest_deadline(begin: int, end: int, w: list[int], start: list[int], stop: list[int]) -> list[tuple[int, int]]:
-    """(source, block) for each slot of a segment.
-
-    Block j of a source of weight w has the window [floor(j / w), ceil((j + 1) / w)), cut to the segment.
-    """
-    total = sum(w)
-    wait = [(max(begin, start[i] * total // w[i]), i, start[i]) for i in range(len(w)) if start[i] < stop[i]]
-    heapq.heapify(wait)
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for t in range(begin, end):
-        while wait and wait[0][0] <= t:
-            _, i, j = heapq.heappop(wait)
-            heapq.heappush(ready, (min(end, -(-(j + 1) * total // w[i])), i, j))
-        deadline, i, j = heapq.heappop(ready)
-        if deadline <= t:
-            raise AssertionError("a deadline was missed")
-        out.append((i, j))
-        if j + 1 < stop[i]:
-            heapq.heappush(wait, (max(t + 1, (j + 1) * total // w[i]), i, j + 1))
-    return out
 
 
 def _ranked(docs: DataFrame, doc_id: str, source: str) -> tuple[DataFrame, dict[tuple[int, str | None], int], dict[str | None, int]]:
@@ -126,7 +114,7 @@ def mix(
     source: str = "source",
     temperature: float = 0.5,
     block_docs: int = BLOCK_DOCS,
-    segment: int = SEGMENT,
+    unit: int = UNIT,
 ) -> DataFrame:
     """(doc_id long, source string, block long, slot long, offset int): the place of every row in the mixed order.
 
@@ -136,32 +124,32 @@ def mix(
     holds for the rest from there on, with their weights renormalised. No row is dropped or
     repeated. Weights default to row counts to the power of temperature; sources without a given
     weight, null among them, take the smallest given one. Repeated rows each have a place; extra
-    columns are ignored; no rows give no rows. The driver holds one count for each source and two
-    for each segment of `segment` slots and source.
+    columns are ignored; no rows give no rows. Weights are multiples of 1 / unit of their sum. The
+    driver holds a row for each period of about `unit` slots and each end of a source, with one count
+    for each source.
     """
     spark = docs.sparkSession
     rows, before, totals = _ranked(docs, doc_id, source)
     given = weights or {s: n**temperature for s, n in totals.items()}
     least = min(given.values(), default=1.0)
-    w = integer_weights({s: given.get(s, least) for s in totals})
+    w = integer_weights({s: given.get(s, least) for s in totals}, unit)
     names = sorted(totals, key=lambda s: (s is not None, s or ""))
     index = {s: i for i, s in enumerate(names)}
-    segments = [(a, b, c, [index[s] for s in own], x, d, e, f) for a, b, c, own, x, d, e, f in plan({s: -(-n // block_docs) for s, n in totals.items()}, w, segment)]
+    segments = [(a, n, [index[s] for s in own], x, skip) for a, n, own, x, skip in plan({s: -(-n // block_docs) for s, n in totals.items()}, w)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                placed = earliest_deadline(r["begin"], r["until"], r["w"], r["start"], r["stop"])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r["own"][i] for i, _ in placed], pa.int32()),
-                        pa.array([j + r["skip"][i] for i, j in placed], pa.int64()),
-                        pa.array(range(r["slot"], r["slot"] + len(placed)), pa.int64()),
-                    ],
-                    ["source_no", "block", "slot"],
-                )
-
-    schema = "slot long, begin long, until long, own array<int>, w array<long>, start array<long>, stop array<long>, skip array<long>"
+                placed = earliest_deadline(r["w"], r["slots"])
+                at = list(r["skip"])
+                block = []
+                for i in placed:
+                    block.append(at[i])
+                    at[i] += 1
+                sources = pa.array([r["own"][i] for i in placed], pa.int32())
+                yield pa.RecordBatch.from_arrays([sources, pa.array(block, pa.int64()), pa.array(range(r["slot"], r["slot"] + len(placed)), pa.int64())], ["source_no", "block", "slot"])
+
+    schema = "slot long, slots long, own array<int>, w array<long>, skip array<long>"
     slots = spark.createDataFrame(segments, schema).repartition(max(1, min(len(segments), 1024))).mapInArrow(run, "source_no int, block long, slot long")
     firsts = spark.createDataFrame([(k[0], k[1], index[k[1]], n) for k, n in before.items()], f"shard int, {P}s string, source_no int, {P}first long")
     placed = rows.join(F.broadcast(firsts), (rows["shard"] == firsts["shard"]) & rows["source"].eqNullSafe(firsts[f"{P}s"]))
