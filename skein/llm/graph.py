@@ -16,7 +16,7 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     can split. Rounds are cut by reliable checkpoints; the driver sees one row per round.
     Self-links are allowed; nulls take no part; no edges give no rows.
     """
-    edges = edges.where("a is not null and b is not null")
+    edges = checkpoint(edges.where("a is not null and b is not null"))  # costly to find; used twice
     loops = edges.where("a = b").select(F.col("a").alias("node")).distinct()
     e = checkpoint(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None

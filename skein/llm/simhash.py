@@ -162,7 +162,9 @@ def links(fps: DataFrame) -> DataFrame:
         if size and (out := flush(True)) is not None:
             yield out
 
-    spread = variants(fps).repartition(F.col("block"), F.col("key")).sortWithinPartitions("block", "key")
+    # few fingerprints grow to many variants: spread them before
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = variants(fps.repartition(n)).repartition(F.col("block"), F.col("key")).sortWithinPartitions("block", "key")
     return spread.mapInArrow(run, "a long, b long").distinct()
 
 
