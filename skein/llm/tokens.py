@@ -8,11 +8,13 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,27 +24,31 @@ from skein.llm.common import P, shared_dir, written
 #: Frequencies add up to 2**BITS; a lane's state lies in [2**31, 2**63) and moves 32 bits at a time.
 BITS = 20
 LOW = np.uint64(1 << 31)
-LANES = 256
-BLOCK_TOKENS = 1 << 16
+LANES = 1024
+BLOCK_TOKENS = 1 << 18
 CHECK_STEPS = 128
 MAGIC = b"SKR1"
 _HEAD = struct.Struct("<4sQHII")
 
-_IRREGULAR = re.compile(r"\s\s|\A\s|\s\Z")
-_BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+# a space before white space, or at the end, doesn't go with what follows
+_SPACE_RUN = r" ([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
+_HEAD_SIGN = "\x00"
 _PUNCTUATION = ".,;:!?"
+# byte-level models write each byte as one sign: visible Latin-1 as it is, the rest from U+0100 on
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SIGNS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PLAIN)}
 
 
 class TextEncoder:
     """Ids of whole texts, equal to encode(text, add_special_tokens=False) of the tokenizers library.
 
-    A byte-level BPE without normaliser splits text before it merges, and never joins what stands on
-    both sides of a single space between two visible characters, the space going with what follows.
-    So texts are cut there, each distinct piece is encoded once by the library, and a bounded cache
-    keeps its ids. Texts that hold an added token, and tokenizers of another kind, are encoded whole.
+    A byte-level BPE without normaliser splits text before it merges, and always before a single
+    space that a visible character follows. So texts are cut there, columns at a time; each distinct
+    piece is encoded once by the library, and a bounded cache keeps its ids. Texts with other spaces,
+    with an added token or a zero byte, and those of other kinds of tokenizers, are encoded whole.
     """
 
-    def __init__(self, path: str, cache_entries: int = 400_000):
+    def __init__(self, path: str, cache_entries: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -59,47 +65,108 @@ class TextEncoder:
             and not spec.get("padding")
         )
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.cache: dict[str, bytes] = {}
-        self.limit = cache_entries
+        self.model, self.limit = self.tokenizer.model, cache_entries
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.points: dict[str, bytes] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.feed = self._model_ids("\n") if self.cut else b""
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Add pieces, each with its leading space, to the cache; a word and its closing points are two pre-tokens."""
-        if len(self.cache) + 2 * len(pieces) > self.limit:
-            self.cache.clear()
-        parts: dict[str, tuple[str, str]] = {}
-        need = set()
+    def _model_ids(self, pretoken: str) -> bytes:
+        """Ids of one pre-token by the library's model alone; its bytes are mapped to the model's signs here."""
+        if pretoken.isascii() and "\n" not in pretoken:
+            mapped = pretoken.replace(" ", "Ġ")
+        else:
+            mapped = pretoken.encode("utf-8").decode("latin-1").translate(_BYTE_SIGNS)
+        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _simple(self, piece: str, lead: str, cache: dict[str, bytes]) -> bytes | None:
+        """Ids of a word of Latin letters and its closing points, two pre-tokens; None for anything else."""
+        word = piece.rstrip(_PUNCTUATION)
+        if not word.isalpha() or not (word.isascii() or max(word) < "ɐ"):
+            return None
+        key = word if lead else _HEAD_SIGN + word
+        ids = cache.get(key)
+        if ids is None:
+            ids = cache[key] = self._model_ids(lead + word)
+        if len(word) == len(piece):
+            return ids
+        points = piece[len(word) :]
+        if points not in self.points:
+            if len(self.points) > 10_000:
+                self.points.clear()
+            self.points[points] = self._model_ids(points)
+        return ids + self.points[points]
+
+    def _learn(self, pieces: Iterable[str], cache: dict[str, bytes]) -> None:
+        """Put the ids of pieces into the cache. One line feed between two simple parts is a pre-token of its own."""
+        others = []
         for p in pieces:
-            word = p.rstrip(_PUNCTUATION)
-            if len(word) < len(p) and word[1:].isalpha() and max(word) < "ɐ":
-                parts[p] = (word, p[len(word) :])
-                need.update(parts[p])
+            lead, body = (" ", p) if p[:1] != _HEAD_SIGN else ("", p[1:])
+            ids = self._simple(body, lead, cache)
+            if ids is None and body.count("\n") == 1:
+                before, _, after = body.partition("\n")
+                first, second = self._simple(before, lead, cache), self._simple(after, "", cache)
+                if first is not None and second is not None:
+                    ids = first + self.feed + second
+            if ids is None:
+                others.append((p, lead + body))
             else:
-                need.add(p)
-        new = [p for p in need if p not in self.cache]
-        self.cache.update(zip(new, self._whole(new), strict=True))
-        self.cache.update((p, self.cache[w] + self.cache[e]) for p, (w, e) in parts.items())
-
-    def _pieces(self, text: str) -> list[str]:
-        first, *rest = text.split(" ") if not _IRREGULAR.search(text) else _BOUNDARY.split(text)
-        return [first, *map(" ".__add__, rest)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+                cache[p] = ids
+        cache.update(zip([p for p, _ in others], self._whole([t for _, t in others]), strict=True))
+
+    def _pieces_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces; when the young cache is full it becomes the old one, and what is used moves back."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        ids = list(map(young.get, pieces))
+        if None in ids:
+            missing = []
+            for p, x in zip(pieces, ids, strict=True):
+                if x is None:
+                    known = old.get(p)
+                    if known is None:
+                        missing.append(p)
+                    else:
+                        young[p] = known
+            self._learn(missing, young)
+            ids = list(map(young.__getitem__, pieces))
+        return ids
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a string column; null is empty."""
+        texts = pc.fill_null(texts, "")
         if not self.cut:
-            return [np.frombuffer(x, self.dtype) for x in self._whole(texts)]
-        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        cut = [self._pieces(t) if t and i not in whole else [] for i, t in enumerate(texts)]
-        seen: set[str] = set()
-        seen.update(*cut)
-        missing = seen.difference(self.cache)
-        if missing:
-            self._learn(missing if len(self.cache) + 2 * len(missing) <= self.limit else seen)
-        ids = [b"".join(map(self.cache.__getitem__, pieces)) for pieces in cut]
-        for i in whole:
-            ids[i] = self._whole([texts[i]])[0]
-        return [np.frombuffer(x, self.dtype) for x in ids]
+            return [np.frombuffer(x, self.dtype) for x in self._whole(texts.to_pylist())]
+        whole = pc.or_(pc.match_substring_regex(texts, _SPACE_RUN), pc.match_substring(texts, _HEAD_SIGN))
+        for a in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, a))
+        out: list[np.ndarray | None] = [None] * len(texts)
+        at = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        for i, x in zip(at, self._whole(texts.take(pa.array(at)).to_pylist()), strict=True):
+            out[i] = np.frombuffer(x, self.dtype)
+        at = np.flatnonzero(~whole.to_numpy(zero_copy_only=False))
+        if len(at):
+            plain = texts.take(pa.array(at)).cast(pa.large_string())
+            lists = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("", pa.large_string()), plain, pa.scalar(_HEAD_SIGN, pa.large_string())), " ")
+            coded = lists.flatten().dictionary_encode()
+            ids = self._pieces_ids(coded.dictionary.to_pylist())
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+            flat = np.frombuffer(b"".join(ids), self.dtype)
+            first = np.cumsum(sizes) - sizes
+            index = coded.indices.to_numpy()
+            lens = sizes[index]
+            ends = np.cumsum(lens)
+            gathered = flat[np.repeat(first[index] - (ends - lens), lens) + np.arange(ends[-1])]
+            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            bounds = np.r_[0, ends][offsets]
+            for k, i in enumerate(at):
+                out[i] = gathered[bounds[k] : bounds[k + 1]]
+        return out
 
 
 _encoders: dict[str, TextEncoder] = {}
@@ -213,6 +280,16 @@ _TOKENS = "shard int, block long, first long, doc_ids array<long>, lens array<lo
 _BLOCKS = "shard int, block long, first long, doc_ids array<long>, lens array<long>, payload binary"
 
 
+def _slices(batch: pa.RecordBatch, column: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with about `size` bytes of text each."""
+    lens = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(lens, dtype=np.int64) - lens) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, z in zip(cuts, cuts[1:], strict=False):
+        if z > a:
+            yield batch.slice(a, z - a)
+
+
 def _tokenise(tokenizer: str, end_id: int, block_tokens: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64())), ("ids", pa.binary())])
 
@@ -224,9 +301,8 @@ def _tokenise(tokenizer: str, end_id: int, block_tokens: int) -> Callable[[Itera
         parts: list[np.ndarray] = []
         size = block = first = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                piece = batch.slice(at, 64)
-                for name, ids in zip(piece.column(0).to_pylist(), encoder.encode([t or "" for t in piece.column(1).to_pylist()]), strict=True):
+            for piece in _slices(batch, 1):
+                for name, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1)), strict=True):
                     names.append(name)
                     lens.append(len(ids) + 1)
                     parts += [ids, end]
