@@ -85,9 +85,9 @@ class CharModel:
 
 
 def grams(word: str) -> Iterator[str]:
-    """The word and its beginnings of three to six letters."""
+    """The word and its beginnings of four to nine letters."""
     yield "=" + word
-    for n in (3, 4, 5, 6):
+    for n in range(4, 10):
         if len(word) > n:
             yield word[:n]
 
