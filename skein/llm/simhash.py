@@ -110,10 +110,8 @@ def _links(key: np.ndarray, block: np.ndarray, fp: np.ndarray) -> tuple[np.ndarr
         for values, ids, flips in ((reps, rep_f, ones), (ex, ex, far)):
             if len(values) < 2:
                 continue
-            group = values & ~mask
-            many = np.r_[False, group[1:] == group[:-1]]
-            many[:-1] |= many[1:]
-            values, ids = values[many], ids[many]
+            _, group, sizes = np.unique(values & ~mask, return_inverse=True, return_counts=True)
+            values, ids = values[sizes[group] > 1], ids[sizes[group] > 1]
             if not len(values):
                 continue
             for flip in flips:
