@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from skein.llm.common import written
 
 GRAM = 32
-#: Groups with more different contexts than this are settled by window digests instead of in one task.
-HOT = 20_000
+#: Groups with more anchors than this are settled by window digests instead of in one task: about 100 MB of texts.
+HOT = 100_000
 SHALLOW = 32
 #: Windows of a text that are hashed at once.
 SEGMENT = 1 << 20
@@ -429,16 +429,44 @@ def _window_digests(length: int):  # noqa: ANN202
     return run
 
 
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, hot: int = HOT) -> DataFrame:
-    """(doc, key, lo, hi): byte ranges covered by strings of `length` bytes that start elsewhere too; ranges may overlap.
+def _equal_windows(length: int):  # noqa: ANN202
+    """Spans of windows that stand in more than one place, from rows sorted by digest and place; one row is held back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, shown = None, False  # the last place, and whether it is known to repeat
+        for b in batches:
+            out = []
+            for w1, w2, doc, key, lo in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                row = (w1, w2, doc, key, lo)
+                if row == held:
+                    continue  # the same place, from wholly equal rows
+                again = held is not None and held[:2] == row[:2]
+                if held is not None and (shown or again):
+                    out.append((*held[2:], held[4] + length))
+                held, shown = row, again
+            if out:
+                yield _span_batch(out)
+        if held is not None and shown:
+            yield _span_batch([(*held[2:], held[4] + length)])
+
+    return run
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows by their names. Plans that use this twice share one exchange of the texts."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc", "key")
+
+
+def repeated_spans(rows: DataFrame, length: int = 400, hot: int = HOT) -> DataFrame:
+    """(doc, key, lo, hi) for rows named by _keyed: byte ranges covered by strings of `length` bytes that start elsewhere too.
+
+    Ranges may overlap and repeat.
 
     Anchors (about one for each length / 4 bytes) are shuffled by context hash and settled where
     whole surroundings agree; only one text of each different surroundings is then fetched and
     compared. Groups of more than `hot` anchors never meet in a task: they are spread by their
-    surroundings, and what is left of them is compared through digests of its windows, counted with
-    map-side partial sums. Both ways give the same ranges.
+    surroundings, and what is left of them is compared through digests of its windows. Both ways give the same ranges.
     """
-    rows = _keyed(docs, doc_id, text)
     long_rows = rows.where(F.octet_length("raw") >= length)
     found = written(long_rows.select("doc", "key", "raw").mapInArrow(_find_anchors(length), "h long, around long, doc long, key long, pos long, dmin long, dmax long"), "anchors")
     heavy = written(found.groupBy("h").count().where(F.col("count") > hot).select("h", F.lit(1).cast("long").alias("hot")), "anchors-hot")
@@ -451,14 +479,14 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     asked = settled.where("pos >= 0").groupBy("doc", "key").agg(
         F.collect_list(F.when(~F.col("hot"), F.struct("h", "pos", "dmin", "dmax"))).alias("asked"), F.collect_list(F.when(F.col("hot"), F.struct("h", "pos", "dmin", "dmax"))).alias("hot_asked")
     )
-    joined = long_rows.select("doc", "key", "raw").join(asked, ["doc", "key"])
-    contexts = joined.where(F.size("asked") > 0).select("doc", "key", "raw", "asked").mapInArrow(_cut_contexts(length), "h long, doc long, key long, pos long, dmin long, dmax long, before binary, after binary")
+    joined = _spread(rows).join(asked, ["doc", "key"])
+    # doc_id goes along unused: with the same columns the exchange is the one that remove_repeats reads
+    contexts = joined.where(F.size("asked") > 0).select("doc", "key", "raw", "asked", "doc_id").mapInArrow(_cut_contexts(length), "h long, doc long, key long, pos long, dmin long, dmax long, before binary, after binary")
     compared = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_compare(length), _SPANS)
     out = spans.unionByName(compared)
     if any_hot:
-        digests = written(joined.where(F.size("hot_asked") > 0).select("doc", "key", "raw", "hot_asked").mapInArrow(_window_digests(length), "w1 long, w2 long, doc long, key long, lo long").distinct(), "windows")
-        twice = digests.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
-        out = out.unionByName(digests.join(twice, ["w1", "w2"]).select("doc", "key", "lo", (F.col("lo") + length).alias("hi")))
+        digests = joined.where(F.size("hot_asked") > 0).select("doc", "key", "raw", "hot_asked", "doc_id").mapInArrow(_window_digests(length), "w1 long, w2 long, doc long, key long, lo long")
+        out = out.unionByName(digests.repartition("w1", "w2").sortWithinPartitions("w1", "w2", "doc", "key", "lo").mapInArrow(_equal_windows(length), _SPANS))
     return out
 
 
@@ -495,7 +523,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 counts.append(len(runs))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    spans = repeated_spans(docs, doc_id, text, length, hot).distinct().groupBy("doc", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    rows = _keyed(docs, doc_id, text).join(spans, ["doc", "key"], "left")
-    return rows.select("doc_id", "raw", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    keyed = _keyed(docs, doc_id, text)
+    # a set: wholly equal rows find the same ranges, which meet before the shuffle
+    spans = repeated_spans(keyed, length, hot).groupBy("doc", "key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    rows = _spread(keyed).join(spans, ["doc", "key"], "left")
+    return rows.select("doc_id", "raw", "spans", "doc", "key").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
