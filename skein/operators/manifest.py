@@ -201,5 +201,5 @@ def verify(manifest: DataFrame, listing: DataFrame, refuse_above: float = 0.5) -
     )
     due = local.select("arxiv_id", F.explode(kinds).alias("f")).select("arxiv_id", "f.kind", "f.name")
     missing = due.join(listing.select("name"), "name", "left_anti")
-    counts = due.agg(F.countDistinct("arxiv_id").alias("n")).crossJoin(F.broadcast(missing.agg(F.countDistinct("arxiv_id").alias("m")))).first()
-    return missing.select("arxiv_id", "kind", "name"), bool(counts.n) and counts.m / counts.n > refuse_above
+    checked, lost = (rows.agg(F.countDistinct("arxiv_id")).first()[0] for rows in (due, missing))
+    return missing.select("arxiv_id", "kind", "name"), bool(checked) and lost / checked > refuse_above

@@ -52,7 +52,7 @@ def journal_segments(done: DataFrame, device: str, first: int = 0, size: int = 2
     cut = ranged.withColumn("part", F.floor(place / size))
     numbers = F.dense_rank().over(W.orderBy("r", "part")) - 1 + first
     seq = cut.select("r", "part").distinct().withColumn("seq", numbers)
-    return cut.join(F.broadcast(seq), ["r", "part"]).select(F.lit(device).alias("device"), F.lpad(F.col("seq").cast("string"), 10, "0").alias("seq"), "arxiv_id")
+    return cut.join(seq, ["r", "part"]).select(F.lit(device).alias("device"), F.lpad(F.col("seq").cast("string"), 10, "0").alias("seq"), "arxiv_id")
 
 
 def write_journal(segments: DataFrame, root: str) -> None:
