@@ -36,9 +36,19 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _own(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete the tables this application has written into the shared folder; call it when no result is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as compressed Parquet into the shared folder and read it back."""
-    path = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{_own(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
