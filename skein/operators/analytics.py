@@ -160,3 +160,17 @@ def cooldown_ladder(answers: DataFrame, key: str, order: str, bad: str, initial:
     runs = fallback_runs(answers, key, order, bad)
     pause = F.when(F.col(bad), F.least(F.lit(initial) * F.pow(F.lit(2.0), F.col("run") - 1), F.lit(cap)).cast("long"))
     return runs.withColumn("pause", pause).drop("alarm")
+
+
+def compare_converters(rows: DataFrame) -> DataFrame:
+    """Each converter's papers, tables, papers with tables, thin texts, and the paper of which it kept most."""
+    return rows.groupBy("converter").agg(
+        F.count("*").alias("papers"), F.sum("n_tables").alias("tables"), F.count_if(F.col("n_tables") > 0).alias("with_tables"), F.count_if("low_text").alias("thin"),
+        F.max_by("arxiv_id", F.struct("n_chars", "doc_id")).alias("longest"),
+    )
+
+
+def progress(workers: DataFrame, seconds: float) -> DataFrame:
+    """One row: totals of the workers and papers a minute."""
+    done = F.sum("done")
+    return workers.agg(F.sum("processed").alias("processed"), done.alias("done"), F.sum("failed").alias("failed"), F.bround(done / F.lit(seconds) * 60, 2).alias("per_minute"))

@@ -183,3 +183,9 @@ def recent_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crawl_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = prepare.in_scope(papers(spark, sf_dir), ["en", "de"]).agg(F.count("*").alias("papers"))
     return n.select("papers", (F.col("papers") / 3600).alias("hours"), (F.col("papers") * 2_000_000 / 1e9).alias("pdf_gb"), (F.col("papers") * 98_900 / 1e9).alias("md_gb"))
+
+
+@query(Q + """select converter, count(*) as papers, sum(n_tables)::bigint as tables, count(*) filter (where n_tables > 0) as with_tables, count(*) filter (where low_text) as thin, arg_max(arxiv_id, n_chars * 10000000 + doc_id) as longest
+from papers where converter is not null group by 1""")
+def converter_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return an.compare_converters(papers(spark, sf_dir).where("converter is not null"))

@@ -23,6 +23,18 @@ def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", ids.safe_id(F.col("id")).alias("safe"), ids.shard_for(F.col("id")).alias("shard"), ids.object_name("md", F.col("id")).alias("path"))
 
 
+@query("""select doc_id, case when doc_id % 2 = 0 then 'hep-th/' || printf('%02d%02d%03d', 92 + doc_id % 7, 1 + doc_id % 12, doc_id % 1000) else printf('%02d%02d.%05d', 7 + doc_id % 17, 1 + doc_id % 12, doc_id) end as id from documents where doc_id < 1000""")
+def ids_from_object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects named after papers, found again through both readings of an underscore."""
+    i = F.col("doc_id")
+    old = F.concat(F.lit("hep-th/"), F.format_string("%02d%02d%03d", 92 + i % 7, 1 + i % 12, i % 1000))
+    new = F.format_string("%02d%02d.%05d", 7 + i % 17, 1 + i % 12, i)
+    known = table(spark, sf_dir, "documents").where("doc_id < 1000").select("doc_id", F.when(i % 2 == 0, old).otherwise(new).alias("id"))
+    names = known.select(ids.object_name("md", F.col("id"), "store").alias("name"))
+    found = names.select(F.explode(ids.id_candidates(F.col("name"), prefix="store")).alias("id")).distinct()
+    return known.join(found, "id", "left_semi").select("doc_id", "id")
+
+
 @query("""select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as collapsed, (n_chars // 10 * 10)::bigint as bucket, substr(regexp_replace(source || ' ' || lang, '[^A-Za-z0-9._-]', '-', 'g'), 1, 64) as device
 from documents where doc_id % 20 = 0 and not regexp_matches(text, '[^\\x00-\\x7F]')""")
 def scalar_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -212,3 +212,11 @@ def resolve_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = o.groupBy(F.col("o_custkey").alias("paper")).agg(F.collect_list(F.struct(F.concat(F.lit("v"), "n").alias("version"), F.concat(stamp, F.lit(" GMT")).alias("created"))).alias("versions"))
     r = v.select("paper", resolve(F.col("versions")).alias("r"))
     return r.select("paper", "r.latest", "r.first_date", "r.latest_date", "r.n")
+
+
+@query("""with w as (select user_id % 4 as slot, count(*) as processed, count(*) filter (where event_type = 'purchase') as done, count(*) filter (where event_type = 'error') as failed from events group by 1)
+select sum(processed)::bigint as processed, sum(done)::bigint as done, sum(failed)::bigint as failed, round_even(sum(done) / 600.0::double * 60, 2) as per_minute from w""")
+def worker_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").groupBy((F.col("user_id") % 4).alias("slot"))
+    workers = e.agg(F.count("*").alias("processed"), F.count_if(F.col("event_type") == "purchase").alias("done"), F.count_if(F.col("event_type") == "error").alias("failed"))
+    return an.progress(workers, 600.0)
