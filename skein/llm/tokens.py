@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import json
 import os
 import re
@@ -290,10 +292,18 @@ def _slices(batch: pa.RecordBatch, column: int, size: int = 1 << 22) -> Iterator
             yield batch.slice(a, z - a)
 
 
+def _give_back() -> None:
+    """Return what earlier tasks of a reused Python worker left free to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def _tokenise(tokenizer: str, end_id: int, block_tokens: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64())), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
         encoder, shard = _encoder(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype)
         names: list[int | None] = []
