@@ -57,7 +57,7 @@ def id_candidates(name: Column, kind: str = "md", prefix: str = "") -> Column:
 def parse_reference(text: Column) -> Column:
     """struct<id, version> of a URL, an arXiv: reference or a bare identifier; nulls if none is found."""
     t = F.regexp_replace(F.trim(text), r"\.pdf$", "")
-    core = r"([0-9]{4}\.[0-9]{4,5}|[a-z\-]+(?:\.[A-Z]{2})?/[0-9]{7})(v[0-9]+)?"
+    core = r"([a-z\-]+(?:\.[A-Z]+)?/[0-9]{7}|[0-9]{4}\.[0-9]{4,5})(v[0-9]+)?"
     pattern = r"^(?:https?://[^/]+/(?:abs|pdf|html)/|(?i:arxiv:)\s*)?" + core + "$"
     return F.struct(F.nullif(F.regexp_extract(t, pattern, 1), F.lit("")).alias("id"), F.nullif(F.regexp_extract(t, pattern, 2), F.lit("")).alias("version"))
 
@@ -67,4 +67,4 @@ def archive_of(category: Column) -> Column:
 
 
 def device_name(name: Column) -> Column:
-    return F.substring(F.regexp_replace(name, "[^A-Za-z0-9._-]", "-"), 1, 64)
+    return F.substring(F.regexp_replace(name, r"[^\w.\-]", "-"), 1, 64)

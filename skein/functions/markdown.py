@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PIPE_LINE = r"^\s*\|.*\|\s*$"
+PIPE_LINE = r"^\s*[|].*[|]\s*$"
 SEPARATOR = r"^\s*\|[-:|\s]+\|\s*$"
 PLACEHOLDER = "^Col[0-9]+$"
 MAX_COLUMNS = 25
@@ -17,7 +17,7 @@ CODE_CAPTION = r"(?i)^\s*(procedure|alg\.|algorithm)\s*(\d+|[civlx]+)?\b"
 _NUMBERED = r"^\s*\d+\s*[.:]\s+\S"
 _KEYWORD = r"(?i)\b(end\s+(function|procedure|if|while|for)|for\s+each|input|output|ensure|require|return|function|procedure|until|repeat|while)\b"
 _OPERATORS = "[=≠≡≤≥≈∝±∓·×∑∏∫√∂∇←→↦⊕⊗⊙∈∉⊂⊆∃∀]"
-_NUMBER = r"\(\s*\d+\s*\)\s*$"
+_NUMBER = r"[(]\s*[0-9]+\s*[)]\s*$"
 
 
 def split_row(line: Column) -> Column:
@@ -122,33 +122,34 @@ def table_block(index: Column, caption: Column, page: Column, columns: Column, n
     )
 
 
-_TABLE = re.compile(r"<table\b[^>]*>.*?</table\s*>", re.IGNORECASE | re.DOTALL)
-_ROW = re.compile(r"<tr\b[^>]*>(.*?)</tr\s*>", re.IGNORECASE | re.DOTALL)
-_CELL = re.compile(r"<t([dh])\b([^>]*)>(.*?)</t\1\s*>", re.IGNORECASE | re.DOTALL)
-_SPAN = re.compile(r"(?:col|row)span\s*=\s*[\"']?(\d+)", re.IGNORECASE)
+_FLAGS = re.IGNORECASE | re.DOTALL
+_TABLE, _ROW = (re.compile(rf"<{tag}\b[^>]*>(.*?)</{tag}\s*>", _FLAGS) for tag in ("table", "tr"))
+_CELL = re.compile(r"<t([dh])(?=[\s>])(?P<attributes>[^>]*)>(?P<body>.*?)</t\1\s*>", _FLAGS)
+_SPAN = re.compile(r"\b(?:row|col)span[\s=\"']+(\d+)", _FLAGS)
+_WIDEST = 16
 
 
-def html_rows(block: str) -> list[list[str]]:
+def _shown(cell: re.Match[str]) -> list[str]:
+    text = html.unescape(re.sub("<[^<>]*>", " ", cell["body"]))
+    times = next((int(n) for n in _SPAN.findall(cell["attributes"])), 1)
+    return [" ".join(text.split())] * max(1, min(times, _WIDEST))
+
+
+def html_rows(table: str) -> list[list[str]]:
     """Rows of an HTML table; the first span attribute of a cell repeats it, up to 16 times."""
-    rows = []
-    for row in _ROW.findall(block):
-        cells: list[str] = []
-        for _, attributes, body in _CELL.findall(row):
-            shown = " ".join(html.unescape(re.sub(r"<[^>]+>", " ", body)).split())
-            span = _SPAN.search(attributes)
-            cells += [shown] * (min(16, max(1, int(span[1]))) if span else 1)
-        if cells:
-            rows.append(cells)
-    return rows
-
-
-def _pipe(match: re.Match[str]) -> str:
-    rows = [r for r in html_rows(match[0]) if any(r)]
+    found = ([s for cell in _CELL.finditer(row[1]) for s in _shown(cell)] for row in _ROW.finditer(table))
+    return [r for r in found if r]
+
+
+def _pipe(found: re.Match[str]) -> str:
+    rows = [r for r in html_rows(found[0]) if "".join(r)]
     if len(rows) < 2:
-        return match[0]
+        return found[0]
     width = max(map(len, rows))
-    lines = ["| " + " | ".join(c.replace("|", r"\|") for c in [*r, *[""] * (width - len(r))]) + " |" for r in rows]
-    return "\n\n" + "\n".join([lines[0], "| " + " | ".join(["---"] * width) + " |", *lines[1:]]) + "\n\n"
+    line = lambda cells: f"| {' | '.join(cells)} |"
+    body = [line([c.replace("|", r"\|") for c in r] + [""] * (width - len(r))) for r in rows]
+    body.insert(1, line(["---"] * width))
+    return "\n".join(["", "", *body, "", ""])
 
 
 def html_tables_to_pipe(text: Column) -> Column:

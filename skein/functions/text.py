@@ -68,7 +68,7 @@ def width_bucket(value: Column, width: int) -> Column:
 
 def human_size(n: Column) -> Column:
     """1.5 KB and the like, by powers of 1024."""
-    units, out = ["B", "KB", "MB", "GB", "TB"], None
+    units, out = "B KB MB GB TB".split(), None
     for k, unit in enumerate(units):
         shown = F.format_string("%,.1f " + unit, n.cast("double") / F.lit(float(1024**k)))
         if out is None:

@@ -11,7 +11,7 @@ from skein.functions import ids
 STATUSES = ("pending", "in_flight", "done", "no_pdf", "failed_download", "failed_convert", "outdated")
 RETRYABLE = ("failed_download", "failed_convert")
 FRESH = ("pending", "outdated")
-CLAIM_COLUMNS = ("arxiv_id", "version", "shard", "title", "authors", "categories", "primary_category", "doi", "date_released", "date_updated", "attempts")
+CLAIM_COLUMNS = tuple("arxiv_id version shard title authors categories primary_category doi date_released date_updated attempts".split())
 FOLDED = ("pdf_bytes", "md_bytes", "tables_bytes", "n_pages", "n_tables", "n_chars", "converter")
 
 
@@ -66,14 +66,14 @@ def claimable(manifest: DataFrame, statuses: tuple[str, ...] = FRESH, max_attemp
     return rows if max_attempts is None else rows.where(F.col("attempts") < max_attempts)
 
 
-def claim(manifest: DataFrame, n: int, statuses: tuple[str, ...] = FRESH, max_attempts: int | None = None, part: tuple[int, int] | None = None) -> DataFrame:
+def claim(manifest: DataFrame, n: int, *, part: tuple[int, int] | None = None, max_attempts: int | None = None, statuses: tuple[str, ...] = FRESH) -> DataFrame:
     """The first n claimable rows by id; the planner appends in_flight events for them."""
     return claimable(manifest, statuses, max_attempts, part).orderBy("arxiv_id").limit(n)
 
 
-def claim_ids(manifest: DataFrame, wanted: DataFrame, statuses: tuple[str, ...] = RETRYABLE) -> DataFrame:
+def claim_ids(manifest: DataFrame, wanted: DataFrame, *, among: tuple[str, ...] = RETRYABLE) -> DataFrame:
     """Of a saved worklist the rows whose status hasn't moved on."""
-    return manifest.where(F.col("status").isin(*statuses)).join(wanted.select("arxiv_id").distinct(), "arxiv_id", "left_semi")
+    return manifest.where(F.col("status").isin(*among)).join(wanted.select("arxiv_id").distinct(), "arxiv_id", "left_semi")
 
 
 def set_status(manifest: DataFrame, chosen: DataFrame, status: str) -> DataFrame:
@@ -85,10 +85,10 @@ def reset_stale(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("status", F.when(F.col("status") == "in_flight", "pending").otherwise(F.col("status")))
 
 
-def reset_failed(manifest: DataFrame, stage: str | None = None, max_attempts: int = 4) -> DataFrame:
+def reset_failed(manifest: DataFrame, stage: str = "", ceiling: int = 4) -> DataFrame:
     """Failures of a stage (download, convert, or both) below the ceiling are pending again, their error cleared."""
     which = (f"failed_{stage}",) if stage else RETRYABLE
-    hit = F.col("status").isin(*which) & (F.col("attempts") < max_attempts)
+    hit = F.col("status").isin(*which) & (F.col("attempts") < ceiling)
     return manifest.withColumn("error", F.when(~hit, F.col("error"))).withColumn("status", F.when(hit, "pending").otherwise(F.col("status")))
 
 

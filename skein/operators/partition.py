@@ -16,11 +16,12 @@ Slice = tuple[int, int]
 def equal_slice(devices: int, index: int) -> Slice:
     if not 0 <= index < devices:
         raise ValueError(f"index {index} is not below {devices}")
-    return index * BUCKETS // devices, (index + 1) * BUCKETS // devices
+    edge = [BUCKETS * i // devices for i in (index, index + 1)]
+    return edge[0], edge[1]
 
 
 def ranges_from_weights(order: list[str], weights: dict[str, float]) -> dict[str, Slice]:
-    """Contiguous ranges by largest remainder; a positive weight gets at least one bucket, zero an empty range."""
+    """Ranges without gaps, by largest remainder; a positive weight gets at least one bucket, zero an empty range."""
     names = list(dict.fromkeys([*order, *weights]))
     w = {n: float(weights.get(n) or 0) for n in names}
     held = [n for n in names if w[n] > 0]

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from skein.functions import ids, text
 
-PARSED = ("arxiv_id", "version", "title", "authors", "categories", "primary_category", "doi", "date_released", "date_updated", "n_versions", "comments")
 
 
 def resolve_versions(versions: Column) -> Column:
@@ -37,8 +36,8 @@ def parse_records(records: DataFrame) -> DataFrame:
 def to_rows(parsed: DataFrame) -> DataFrame:
     """Manifest columns: authors as JSON, categories joined, shard and bucket derived."""
     return parsed.select(
-        "arxiv_id", "version", ids.shard_for(F.col("arxiv_id")).alias("shard"), "title", F.to_json("authors").alias("authors"), F.array_join("categories", " ").alias("categories"),
-        "primary_category", "doi", "date_released", "date_updated", ids.bucket_for(F.col("arxiv_id")).alias("bucket"),
+        *"arxiv_id version title primary_category doi date_released date_updated".split(), ids.shard_for(F.col("arxiv_id")).alias("shard"),
+        F.to_json("authors").alias("authors"), F.array_join("categories", " ").alias("categories"), ids.bucket_for(F.col("arxiv_id")).alias("bucket"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from skein.functions import ids
 from skein.functions import markdown as md
 
-METADATA = ("arxiv_id", "version", "title", "authors", "categories", "primary_category", "doi", "date_released", "date_updated", "n_pages", "n_tables", "n_chars", "converter", "source_url")
+METADATA = tuple("arxiv_id version title authors categories primary_category doi date_released date_updated n_pages n_tables n_chars converter source_url".split())
 
 
 def metadata(converted: DataFrame, base_url: str = "https://example.org") -> DataFrame:

@@ -66,7 +66,7 @@ def status_after_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(Q + "select arxiv_id, case when status = 'in_flight' or (status = 'failed_download' and attempts < 3) then 'pending' else status end as status from papers")
 def resets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mf.reset_failed(mf.reset_stale(papers(spark, sf_dir)), "download", 3).select("arxiv_id", "status")
+    return mf.reset_failed(mf.reset_stale(papers(spark, sf_dir)), "download", ceiling=3).select("arxiv_id", "status")
 
 
 INCOMING = """, inc as (select distinct on (arxiv_id) * from (select printf('%02d%02d.%05d', 7 + doc_id % 17, 1 + doc_id % 14, doc_id) as arxiv_id, 'v' || (1 + doc_id % 4) as version, date '2020-01-01' + (doc_id % 90)::int as date_updated from labels

@@ -44,14 +44,14 @@ def stream_log(spark: SparkSession, root: str) -> DataFrame:
     return lines.select(fallback_in_line(F.col("value")).alias("f")).where("f.id is not null").select("f.*")
 
 
-def next_start(watermark: str | None, latest: str | None, overlap_days: int, explicit: str | None = None) -> str | None:
+def next_start(watermark: str | None, latest: str | None, overlap: int, told: str | None = None) -> str | None:
     """First day of the next harvest: as told, else the watermark or the latest date, less the overlap."""
     import datetime as dt
 
-    if explicit:
-        return explicit
+    if told:
+        return told
     base = watermark or latest
-    return None if base is None else (dt.date.fromisoformat(base[:10]) - dt.timedelta(days=overlap_days)).isoformat()
+    return None if base is None else (dt.date.fromisoformat(base[:10]) - dt.timedelta(days=overlap)).isoformat()
 
 
 def next_watermark(current: str | None, seen_latest: str | None, complete: bool, dry_run: bool) -> str | None:

@@ -42,7 +42,7 @@ def test_oai_and_feed(spark, tmp_path):
     got = snapshot.oai_to_snapshot(snapshot.read_oai(spark, str(oai))).collect()
     assert [(r.id, [v.version for v in r.versions], r.update_date) for r in got] == [("1", ["v1", "v2"], "2026-01-02")]
     feed = tmp_path / "feed.xml"
-    feed.write_text('<feed><entry><id>http://arxiv.org/abs/2301.00001v3</id><title>A\n B</title><updated>2026-02-01T00:00:00Z</updated><published>2026-01-01T00:00:00Z</published><category term="cs.LG"/><category term="stat.ML"/><arxiv:primary_category xmlns:arxiv="u" term="stat.ML"/><author><name>X Y</name></author></entry></feed>')
+    feed.write_text('<feed><entry><id>https://example.org/abs/2301.00001v3</id><title>A\n B</title><updated>2026-02-01T00:00:00Z</updated><published>2026-01-01T00:00:00Z</published><category term="cs.LG"/><category term="stat.ML"/><arxiv:primary_category xmlns:arxiv="u" term="stat.ML"/><author><name>X Y</name></author></entry></feed>')
     r = snapshot.feed_to_snapshot(snapshot.read_feed(spark, str(feed))).first()
     assert (r.id, r.title, r.categories, r.update_date, r.versions[1].version) == ("2301.00001", "A B", "stat.ML cs.LG", "2026-02-01", "v3")
 
