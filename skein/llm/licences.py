@@ -55,7 +55,7 @@ Permission is granted to anyone to use this software for any purpose, including
 3. This notice may not be removed or altered from any source distribution."""
 
 #: (licence id, text): a fixed registry; the join may broadcast it.
-KNOWN: tuple[tuple[str, str], ...] = (
+KNOWN = (
     ("MIT", _PERMISSION), ("MIT", "MIT License\n\n" + _PERMISSION), ("MIT", "The MIT License (MIT)\n\n" + _PERMISSION),
     ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL), ("BSD-2-Clause", "BSD 2-Clause License\n\n" + _BSD_HEAD + _BSD_TAIL),
     ("BSD-3-Clause", _BSD_HEAD + _BSD_THIRD + _BSD_TAIL), ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_HEAD + _BSD_THIRD + _BSD_TAIL),
