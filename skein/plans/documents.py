@@ -29,7 +29,7 @@ def ids_from_object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("doc_id")
     old = F.concat(F.lit("hep-th/"), F.format_string("%02d%02d%03d", 92 + i % 7, 1 + i % 12, i % 1000))
     new = F.format_string("%02d%02d.%05d", 7 + i % 17, 1 + i % 12, i)
-    known = table(spark, sf_dir, "documents").where("doc_id < 1000").select("doc_id", F.when(i % 2 == 0, old).otherwise(new).alias("id"))
+    known = table(spark, sf_dir, "documents").select("doc_id", F.when(i % 2 == 0, old).otherwise(new).alias("id"))
     names = known.select(ids.object_name("md", F.col("id"), "store").alias("name"))
     found = names.select(F.explode(ids.id_candidates(F.col("name"), prefix="store")).alias("id")).distinct()
     return known.join(found, "id", "left_semi").select("doc_id", "id")
@@ -48,7 +48,7 @@ TABLES = """rows as (select d.doc_id, string_agg('| ' || n.n_nationkey || ' | '
 def _with_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with one table of nations, a caption above, a degenerate table and a line after."""
     n = table(spark, sf_dir, "nation")
-    d = table(spark, sf_dir, "documents").where("doc_id < 200")
+    d = table(spark, sf_dir, "documents")
     rows = d.join(F.broadcast(n), F.col("n_regionkey") == F.col("doc_id") % 5).groupBy("doc_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: F.concat(F.lit("| "), x["n_nationkey"], F.lit(" | "), x["n_name"], F.lit(" | x |"))), "\n").alias("rows")
     )
