@@ -38,7 +38,7 @@ def ids_from_object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as collapsed, (n_chars // 10 * 10)::bigint as bucket, substr(regexp_replace(source || ' ' || lang, '[^A-Za-z0-9._-]', '-', 'g'), 1, 64) as device
 from documents where doc_id % 20 = 0 and not regexp_matches(text, '[^\\x00-\\x7F]')""")
 def scalar_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where("doc_id % 20 = 0").where(~F.col("text").rlike(r"[^\x00-\x7F]"))
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", text.collapse_spaces(F.col("text")).alias("collapsed"), text.width_bucket(F.col("n_chars"), 10).alias("bucket"), ids.device_name(F.concat_ws(" ", "source", "lang")).alias("device"))
 
 
@@ -71,7 +71,7 @@ def bodies_without_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""with l as (select doc_id as doc, unnest(string_split(text, chr(10))) as line from documents where doc_id % 3 = 0)
 select doc, count(*) filter (where regexp_matches(line, '^\\s*\\|.*\\|\\s*$')) as pipe_lines, count(*) as n_lines from l group by 1""")
 def pipe_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("doc"), F.col("text").alias("body"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("body"))
     return tb.lines(d).groupBy("doc").agg(F.count_if(F.col("line").rlike(markdown.PIPE_LINE)).alias("pipe_lines"), F.count("*").alias("n_lines"))
 
 
@@ -80,7 +80,7 @@ select doc_id as doc, string_agg(case when want and not fenced then '$$ ' || lin
 from (select doc_id, pos, line, want, false as fenced from documents, e where doc_id % 25 = 0 union all select doc_id, 5, '```', false, true from documents where doc_id % 25 = 0 union all select doc_id, 6, 'x = y + z', true, true from documents where doc_id % 25 = 0) group by 1""")
 def mark_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = ["a = b + c", "where the value = of all parts", "# a = b", "E = mc^2   (1)", "short", "```", "x = y + z"]
-    d = table(spark, sf_dir, "documents").where("doc_id % 25 = 0").select(F.col("doc_id").alias("doc"), F.lit("\n".join(lines)).alias("body"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.lit("\n".join(lines)).alias("body"))
     return tb.mark_equations(d)
 
 

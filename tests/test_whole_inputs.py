@@ -1,6 +1,7 @@
 """Registered queries over every row of their input: ids, languages and keys that a subset would leave out, against brute force in Python."""
 
 import shutil
+from collections import Counter
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -43,3 +44,35 @@ def test_bodies_of_every_document(spark, wide):
 def test_object_names_of_every_document(spark, wide):
     got = {r.doc_id: r.id for r in registry.QUERIES["ids_from_object_names"](spark, wide).collect()}
     assert got == {i: f"{7 + i % 17:02}{1 + i % 12:02}.{i:05}" if i % 2 else f"hep-th/{92 + i % 7:02}{1 + i % 12:02}{i % 1000:03}" for i in IDS}
+
+
+def documents(wide):
+    return pq.read_table(f"{wide}/documents.parquet").to_pylist()
+
+
+def test_scalars_of_every_text(spark, wide):
+    got = {r.doc_id: (r.collapsed, r.bucket, r.device) for r in registry.QUERIES["scalar_text"](spark, wide).collect()}
+    assert got == {r["doc_id"]: (" ".join(r["text"].split()), r["n_chars"] // 10 * 10, "src-1-de") for r in documents(wide)}
+
+
+def test_pipe_lines_of_every_text(spark, wide):
+    got = {r.doc: (r.pipe_lines, r.n_lines) for r in registry.QUERIES["pipe_lines"](spark, wide).collect()}
+    lines = {r["doc_id"]: r["text"].split("\n") for r in documents(wide)}
+    assert got == {i: (sum(len(x := y.strip()) > 1 and x[0] == x[-1] == "|" for y in ys), len(ys)) for i, ys in lines.items()}
+
+
+def test_equations_of_every_document(spark, wide):
+    got = {r.doc: r.body for r in registry.QUERIES["mark_equations"](spark, wide).collect()}
+    assert got == dict.fromkeys(IDS, "$$ a = b + c $$\nwhere the value = of all parts\n# a = b\n$$ E = mc^2   (1) $$\nshort\n```\nx = y + z")
+
+
+def test_trailing_means_of_every_order(spark, wide):
+    n = Counter((r["o_orderpriority"], r["o_orderdate"].year * 12 + r["o_orderdate"].month - 1) for r in pq.read_table(f"{wide}/orders.parquet").to_pylist())
+    months = range(min(m for _, m in n), max(m for _, m in n) + 1)
+    want = {}
+    for key in {k for k, _ in n}:
+        for m in months:
+            last = [n[key, x] for x in months if m - 12 < x <= m]
+            want[key, m] = (n[key, m], round(sum(last) / len(last), 9))
+    got = {(r.key, r.month.year * 12 + r.month.month - 1): (r.n, round(r.rolling, 9)) for r in registry.QUERIES["monthly_trailing_mean"](spark, wide).collect()}
+    assert got == want
