@@ -26,6 +26,15 @@ _REPEAT = re.compile(r"([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*/]\S){3,}(?!\S)")
 _MIXED = re.compile(r"[^\W\d_].*[0-9@$!|+€(*#]|[0-9@$!|+€(*#].*[^\W\d_]")
 _SEPARATED = re.compile(r"^(?:\w[.\-_*/]){2,}\w$")
+_NO_WORD = re.compile(r"[^\w]+")
+_SEPARATOR = re.compile(r"[ .\-_*/]")
+_LONG_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
+_GAP = re.compile(r"(?:[^\w\s@$!|+€(*#]|_){2,}")
+_PLAIN_GAP = re.compile(r"[^\w@$!|+€(*#]+")
+#: Signs decoded at once; longer tokens are decoded in pieces that overlap by half.
+PIECE = 40
+#: Longer tokens are restored anew each time instead of being kept.
+KEPT = 100
 _TABLE = np.zeros(0x250, np.int64)
 for _c, _i in _CLASS.items():
     for _x in {_c, _c.upper()}:
@@ -84,6 +93,25 @@ class CharModel:
         return [w for _, w in ended[:best]]
 
 
+def squeezed(seen: str) -> str:
+    """Without what decoding drops anyway: runs of one sign shrink to three, gaps of several separators to their first."""
+    return _GAP.sub(lambda m: m[0][0], _LONG_RUN.sub(r"\1\1\1", seen))
+
+
+def pieces(seen: str) -> Iterator[str]:
+    """The whole of a short token, overlapping pieces of a long one."""
+    for at in range(0, max(1, len(seen) - PIECE // 2), PIECE // 2):
+        yield seen[at : at + PIECE]
+
+
+def windows(run: str) -> Iterator[str]:
+    """Each stretch of 4 to 12 signs."""
+    for i in range(max(1, len(run) - 3)):
+        for n in range(4, 13):
+            if i + n <= len(run) or (i == 0 and n == 4):
+                yield run[i : i + n]
+
+
 def grams(word: str) -> Iterator[str]:
     """The word and its beginnings of four to nine letters."""
     yield "=" + word
@@ -102,6 +130,8 @@ class Restorer:
         """Hypotheses for one token in lower case without its edges; plain words stand for themselves."""
         if token.isalpha() and not _REPEAT.search(token):
             return (token,)
+        if len(token) > KEPT:
+            return self._restore(token)
         found = self.cache.get(token)
         if found is None:
             if len(self.cache) >= self.limit:
@@ -110,26 +140,29 @@ class Restorer:
         return found
 
     def _restore(self, token: str) -> tuple[str, ...]:
-        out = [token]
-        if len(token) <= 40 and (_REPEAT.search(token) or _MIXED.search(token) or _SEPARATED.match(token)):
-            out += self.model.decode(token)
-        parts = [p for p in re.split(r"[^\w]+", token) if p and p != token]
-        for p in parts[:64]:
-            out.append(p)
-            if len(p) <= 40 and (_REPEAT.search(p) or _MIXED.search(p)):
-                out += self.model.decode(p)
-        return tuple(dict.fromkeys(out))
-
-    def tokens(self, text: str) -> set[str]:
-        """Distinct lower-case tokens without edge signs, and runs of single signs joined."""
+        out = dict.fromkeys((token, *self._decoded(token)))
+        splits = [_NO_WORD] if len(token) <= PIECE else [_PLAIN_GAP, _NO_WORD]
+        for part in dict.fromkeys(p for by in splits for p in by.split(token) if p and p != token):
+            out |= dict.fromkeys(self.restored(part))
+        return tuple(out)
+
+    def _decoded(self, seen: str) -> Iterator[str]:
+        short = squeezed(seen)
+        separated = _SEPARATED.match(short)
+        if separated and len(short) > PIECE:
+            for w in windows(_SEPARATOR.sub("", short)):
+                yield from self.restored(w)
+            return
+        for p in pieces(short):
+            if separated or _REPEAT.search(p) or _MIXED.search(p):
+                yield from self.model.decode(p)
+
+    def tokens(self, text: str) -> Iterator[str]:
+        """Lower-case tokens without edge signs, and stretches of runs of single signs joined; those of runs may come again."""
         low = text.lower()
-        found = {t.strip(_STRIP) for t in set(low.split())}
+        yield from {t.strip(_STRIP) for t in set(low.split())} - {""}
         for m in _SPACED.finditer(low):
-            run = re.sub(r"[ .\-_*/]", "", m[0])
-            if len(run) <= 400:
-                found.update(run[i : i + n] for n in range(4, 13) for i in range(0, max(1, len(run) - n + 1)))
-        found.discard("")
-        return found
+            yield from windows(_SEPARATOR.sub("", m[0]))
 
 
 class Words:
@@ -156,7 +189,7 @@ class Words:
 
     def of(self, word: str) -> float:
         get = self.weight.get
-        return max((get(g, 0.0) for g in grams(word)), default=0.0) if len(word) <= 400 else 0.0
+        return max((get(g, 0.0) for g in grams(word)), default=0.0)
 
 
 class ToxicityModel:
@@ -188,13 +221,16 @@ class ToxicityModel:
     def _of(self, token: str) -> float:
         found = self._cache.get(token)
         if found is None:
-            if len(self._cache) >= 400_000:
-                self._cache.clear()
-            found = self._cache[token] = max(map(self.words.of, self._restorer.restored(token)), default=0.0)
+            found = max(map(self.words.of, self._restorer.restored(token)), default=0.0)
+            if len(token) <= KEPT:
+                if len(self._cache) >= 400_000:
+                    self._cache.clear()
+                self._cache[token] = found
         return found
 
     def _features(self, tokens: Iterable[str]) -> list[float]:
-        scores = sorted((s for s in map(self._of, tokens) if s), reverse=True)[:8]
+        found = {t: s for t in tokens if (s := self._of(t))}
+        scores = sorted(found.values(), reverse=True)[:8]
         return [scores[0] if scores else 0.0, sum(scores[:3]), sum(scores)]
 
     def score(self, texts: list[str | None]) -> np.ndarray:

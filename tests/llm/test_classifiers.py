@@ -85,3 +85,29 @@ def test_licences(spark):
     plan = licences.scan(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert licences.scan(df.limit(0)).collect() == []
+
+
+def toxicity_model():
+    toxic = [(f"this is some text number {i} you stupid moron and idiot", 1) for i in range(60)]
+    clean = [(f"this is some text number {i} with nothing bad in it at all, a fair day and a good walk", 0) for i in range(200)]
+    return toxicity.ToxicityModel(toxicity.trigram_counts([t for t, _ in toxic + clean]), toxic + clean, {0: 200, 1: 60})
+
+
+def test_long_disguises_score_like_short_ones():
+    model = toxicity_model()
+    plain = "with nothing bad in it "
+    long = [
+        " ".join((plain * 60 + "you idiot and moron").replace(" ", "")),
+        ",".join(["day"] * 400 + ["idiot"]),
+        ";".join(["walk"] * 400 + ["m0r0n", "day"]),
+        ",".join(["walk"] * 90 + ["st*pid", "day"]),
+        "m" + "o" * 500 + "ron",
+        "_" * 9 + "i" + "d".join(["_" * 30] * 2) + "i____o____t",
+        "_".join("nothingbadinitatall" * 4 + "idiot"),
+        "1d10t" * 20,
+        "moron" * 100,
+    ]
+    short = model.score(["idiot"])[0]
+    assert [s > short - 1e-6 for s in model.score(long)] == [True] * len(long)
+    clean = [" ".join((plain * 60).replace(" ", "")), ",".join(["day"] * 400), "w" + "a" * 500 + "lk", "walk" * 200]
+    assert np.allclose(model.score(clean), model.score([""])[0]) and model.score([""])[0] < short - 0.1
