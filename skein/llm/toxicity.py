@@ -22,7 +22,8 @@ _CLASS = {c: i + 1 for i, c in enumerate(LETTERS)}
 _N = len(LETTERS) + 1
 _EDGE = " \t\n\r.,;:?\"'“”„‘’«»()[]{}<>-–—_/\\!|*#%&~^`=+"
 _STRIP = _EDGE.replace("+", "").replace("(", "")
-_REPEAT = re.compile(r"([^\W\d_])\1\1")
+_OUTER = "".join(c for c in _STRIP if c not in LEET)
+_REPEAT = re.compile(r"([^\W\d_])\1")
 _SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*/]\S){3,}(?!\S)")
 _MIXED = re.compile(r"[^\W\d_].*[0-9@$!|+€(*#]|[0-9@$!|+€(*#].*[^\W\d_]")
 _SEPARATED = re.compile(r"^(?:\w[.\-_*/]){2,}\w$")
@@ -63,11 +64,16 @@ class CharModel:
         p1 = (c1 + 1) / (c1.sum() + _N)
         p2 = (c2 + 4 * p1) / (c2.sum(axis=1, keepdims=True) + 4)
         self.cost = -np.log((c3 + 4 * p2[None]) / (c3.sum(axis=2, keepdims=True) + 4)).astype(np.float32)
+        self._costs = self.cost.tolist()
 
-    def decode(self, observed: str, best: int = 3, beam: int = 24) -> list[str]:
-        """The likeliest words behind a disguised one: signs stand for letters, runs shrink, separators go."""
+    def decode(self, observed: str, best: int = 3) -> list[str]:
+        """The likeliest words behind a disguised one: signs stand for letters, runs shrink, separators go.
+
+        Exact Viterbi decoding: a state is the last two letters and keeps its `best` cheapest words.
+        """
         runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", observed, re.DOTALL)]
-        states: list[tuple[float, int, int, str]] = [(0.0, 0, 0, "")]
+        costs = self._costs
+        states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
         for sign, n in runs:
             options: list[tuple[float, str]] = []
             for letter in ([sign] if sign in _CLASS else []) + list(LEET.get(sign, "")):
@@ -77,19 +83,21 @@ class CharModel:
                 options.append((0.7, ""))
             if not options:
                 options.append((0.0, ""))
-            grown: dict[str, tuple[float, int, int, str]] = {}
-            for cost, a, b, word in states:
+            grown: dict[tuple[int, int], dict[str, float]] = {}
+            for (a, b), paths in states.items():
                 for extra, letters in options:
-                    c, x, y = cost + extra, a, b
+                    x, y = a, b
                     for letter in letters:
                         z = _CLASS[letter]
-                        c += float(self.cost[x, y, z])
+                        extra += costs[x][y][z]
                         x, y = y, z
-                    w = word + letters
-                    if w not in grown or c < grown[w][0]:
-                        grown[w] = (c, x, y, w)
-            states = sorted(grown.values())[:beam]
-        ended = sorted((c + float(self.cost[a, b, 0]), w) for c, a, b, w in states if w)
+                    words = grown.setdefault((x, y), {})
+                    for cost, word in paths:
+                        w, c = word + letters, cost + extra
+                        if c < words.get(w, math.inf):
+                            words[w] = c
+            states = {at: sorted((c, w) for w, c in words.items())[:best] for at, words in grown.items()}
+        ended = sorted((c + costs[a][b][0], w) for (a, b), paths in states.items() for c, w in paths if w)
         return [w for _, w in ended[:best]]
 
 
@@ -127,7 +135,7 @@ class Restorer:
         self.model, self.limit, self.cache = model, limit, {}
 
     def restored(self, token: str) -> tuple[str, ...]:
-        """Hypotheses for one token in lower case without its edges; plain words stand for themselves."""
+        """Hypotheses for one token in lower case, without its edge signs and with those that may stand for letters; plain words stand for themselves."""
         if token.isalpha() and not _REPEAT.search(token):
             return (token,)
         if len(token) > KEPT:
@@ -140,7 +148,8 @@ class Restorer:
         return found
 
     def _restore(self, token: str) -> tuple[str, ...]:
-        out = dict.fromkeys((token, *self._decoded(token)))
+        bare = token.strip(_STRIP)
+        out = dict.fromkeys(w for w in (bare, *(self.restored(bare) if bare != token else ()), *self._decoded(token)) if w)
         splits = [_NO_WORD] if len(token) <= PIECE else [_PLAIN_GAP, _NO_WORD]
         for part in dict.fromkeys(p for by in splits for p in by.split(token) if p and p != token):
             out |= dict.fromkeys(self.restored(part))
@@ -158,9 +167,9 @@ class Restorer:
                 yield from self.model.decode(p)
 
     def tokens(self, text: str) -> Iterator[str]:
-        """Lower-case tokens without edge signs, and stretches of runs of single signs joined; those of runs may come again."""
+        """Lower-case tokens without edge signs other than those that may stand for letters, and stretches of runs of single signs joined; those of runs may come again."""
         low = text.lower()
-        yield from {t.strip(_STRIP) for t in set(low.split())} - {""}
+        yield from {t.strip(_OUTER) for t in set(low.split())} - {""}
         for m in _SPACED.finditer(low):
             yield from windows(_SEPARATOR.sub("", m[0]))
 
@@ -229,7 +238,11 @@ class ToxicityModel:
         return found
 
     def _features(self, tokens: Iterable[str]) -> list[float]:
-        found = {t: s for t in tokens if (s := self._of(t))}
+        found: dict[str, float] = {}
+        for t in tokens:
+            if s := self._of(t):
+                bare = t.strip(_STRIP)
+                found[bare] = max(s, found.get(bare, 0.0))
         scores = sorted(found.values(), reverse=True)[:8]
         return [scores[0] if scores else 0.0, sum(scores[:3]), sum(scores)]
 

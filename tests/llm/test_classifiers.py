@@ -111,3 +111,38 @@ def test_long_disguises_score_like_short_ones():
     assert [s > short - 1e-6 for s in model.score(long)] == [True] * len(long)
     clean = [" ".join((plain * 60).replace(" ", "")), ",".join(["day"] * 400), "w" + "a" * 500 + "lk", "walk" * 200]
     assert np.allclose(model.score(clean), model.score([""])[0]) and model.score([""])[0] < short - 0.1
+
+
+def test_decoding_finds_the_likeliest_words():
+    rng = np.random.default_rng(14)
+    model = toxicity.CharModel(toxicity.trigram_counts(["".join(rng.choice(list("aeioulst "), size=300))] * 30))
+
+    def brute(observed, best):
+        """All readings of signs that don't repeat."""
+        found = {"": 0.0}
+        for sign in observed:
+            letters = [(0.0, sign)] if sign.isalpha() else []
+            letters += [(0.7, x) for x in toxicity.LEET.get(sign, "")] + ([] if sign.isalnum() else [(0.7, "")])
+            grown = {}
+            for word, c in found.items():
+                for extra, x in letters:
+                    grown[word + x] = min(c + extra, grown.get(word + x, np.inf))
+            found = grown
+        cost = {}
+        for word, c in found.items():
+            k = [0, 0, *(toxicity._CLASS[x] for x in word), 0]
+            cost[word] = c + sum(float(model.cost[x]) for x in zip(k, k[1:], k[2:], strict=False))
+        return sorted(cost[w] for w in cost if w)[:best], cost
+
+    for observed in ("*!*|*!", "s*t*|*1*", "!*1*!*|*", "a*+*s*t*!"):
+        want, cost = brute(observed, 3)
+        assert np.allclose([cost[w] for w in model.decode(observed)], want)
+
+
+def test_doubled_letters_and_edge_signs_are_undone():
+    texts = ["you are an idiot and a moron my friend", "the weather is fine and the sun is out", "loser and idiot", "we all like a good walk"] * 30
+    restorer = toxicity.Restorer(toxicity.CharModel(toxicity.trigram_counts(texts)))
+    for seen, word in (("iddiiot", "idiot"), ("mooron", "moron"), ("!diot", "idiot"), ("|oser", "loser"), ("'!d!ot'", "idiot"), ("loser!", "loser"), ("**loser**", "loser")):
+        assert any(word in restorer.restored(t) for t in restorer.tokens(f"hey {seen} you")), seen
+    model = toxicity_model()
+    assert np.allclose(model.score(["!diot", "iddiiot", "idiot!", "idiot idiot! *idiot*"]), model.score(["idiot"])[0])
