@@ -1,4 +1,4 @@
-"""Sinks: artefacts by shard, journals in segments, markers, CSV, caches, relational staging."""
+"""Sinks: artefacts by shard, journals in segments, CSV, caches, relational staging."""
 
 from __future__ import annotations
 
