@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +17,32 @@ from pyspark.sql import functions as F
 P = "__sk_"
 
 
+_caches: dict[str, Callable[[], None]] = {}
+_last = ""
+
+
+def keeps_cache(owner: str, drop: Callable[[], None]) -> None:
+    """Say how to drop what an operator keeps in a Python worker between its tasks."""
+    _caches[owner] = drop
+
+
+def fresh_task(owner: str) -> None:
+    """First call of each function that runs in Python workers, which live through many stages.
+
+    Drops what other operators keep there, and returns memory that earlier tasks left free to the system.
+    """
+    global _last
+    if owner != _last:
+        for name, drop in _caches.items():
+            if name != owner:
+                drop()
+        gc.collect()
+        _last = owner
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir, which all executors share.
 

@@ -7,31 +7,43 @@ about one anchor for each 100 bytes. Inside a group the suffixes that start at t
 sorted by multikey quicksort to a shallow depth and by blind tries below it; the texts before the
 anchors likewise, read backwards. The two orders give for each anchor the windows that some other
 anchor shares.
+
+Beside the bytes, passages of PASSAGE words that stand in several rows are marked, whatever white
+space is between their words. Their anchors are chosen among words the same way, and what whole
+surroundings don't settle is compared through 128-bit digests of the windows.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import written
+from skein.llm.common import fresh_task, written
 
 GRAM = 32
 #: Groups with more anchors than this are settled by window digests instead of in one task: about 100 MB of texts.
 HOT = 100_000
 SHALLOW = 32
-#: Windows of a text that are hashed at once.
-SEGMENT = 1 << 20
+#: Bytes, or words, that are hashed at once; anchors that are combined before they are sent.
+SEGMENT, CHUNK = 1 << 19, 1 << 18
+#: Low bits of a sort key that hold a position; the same for all texts, so that equal windows choose equal anchors.
+BITS = 24
+#: Words of a passage, and of the context at its anchor.
+PASSAGE, PASSAGE_CONTEXT = 50, 16
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
 
 _rng = np.random.default_rng(20240229)
 _BYTE = [_rng.integers(1, 1 << 63, 256, dtype=np.uint64) * 2 + 1 for _ in range(2)]
 _BASE = [0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1]
-_M64 = (1 << 64) - 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -56,63 +68,117 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """Hashes of all substrings of a byte string from prefix sums."""
+    """Hashes of all substrings of a sequence, of bytes or of 64-bit word codes, from prefix sums."""
 
-    def __init__(self, raw: np.ndarray, which: int = 0):
-        n = len(raw)
+    def __init__(self, letters: np.ndarray, which: int = 0):
+        n = len(letters)
         up, down = _power(n + 1, which)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[which][raw] * up[:n], out=self.sums[1:])
+        np.cumsum((_BYTE[which][letters] if letters.dtype == np.uint8 else letters) * up[:n], out=self.sums[1:])
         self.down = down
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return _mix((self.sums[stop] - self.sums[start]) * self.down[start] + (stop - start).astype(np.uint64) * np.uint64(0x94D049BB133111EB))
 
 
-def anchors(raw: bytes, length: int, segment: int = SEGMENT) -> tuple[np.ndarray, ...] | None:
-    """(context hash, surroundings hash, position, least and most offset of its windows) for each anchor of a text.
-
-    Long texts are taken in segments of windows, so memory is bounded by the segment.
-    """
-    n = len(raw)
-    if n < length:
-        return None
-    context = length // 2 + 1
-    window = length - context + 1
-    whole = np.frombuffer(raw, np.uint8)
-    parts: list[list[np.ndarray]] = []
-    for begin in range(0, n - length + 1, segment):
-        end = min(begin + segment, n - length + 1)  # windows [begin, end)
-        base = max(0, begin - window + 1)
-        stop = min(n, end + window + length)
-        part = list(_segment(whole[base:stop], base, begin, end, n, length, context, window))
-        if parts and part[2][0] == parts[-1][2][-1]:  # the anchor goes on
-            parts[-1][3][-1] = part[3][0]
-            part = [x[1:] for x in part]
-        if len(part[0]):
-            parts.append(part)
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-
-
-def _segment(data: np.ndarray, base: int, begin: int, end: int, n: int, length: int, context: int, window: int) -> tuple[np.ndarray, ...]:
-    hashes = Hashes(data)
-    at = np.arange(begin - base, end - 1 + window - base)  # the positions that can be anchors
-    bits = np.uint64(max(1, len(at).bit_length()))
-    # the low bits hold the position: the least key is the leftmost of the lowest hashes
-    key = ((hashes.of(at, at + min(GRAM, context)) >> bits) << bits) | (at - at[0]).astype(np.uint64)
-    size = 1
-    while size * 2 <= window:
-        key = np.minimum(key[:-size], key[size:])
-        size *= 2
-    if size < window:
-        key = np.minimum(key[: len(key) - (window - size)], key[window - size :])
-    chosen = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64) + begin
-    first = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
-    pos = chosen[first]
-    last = np.r_[first[1:], len(chosen)] - 1
-    left, right = np.maximum(pos - (window - 1), 0), np.minimum(pos + length, n)
-    around = _mix(hashes.of(left - base, right - base) ^ (pos - left).astype(np.uint64))
-    return hashes.of(pos - base, pos - base + context), around, pos, pos - (begin + last), pos - (begin + first)
+def word_codes(raw: np.ndarray, segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, 64-bit code) of each word; long texts are cut between words, so memory beyond the result is bounded."""
+    starts, codes, at, n = [], [], 0, len(raw)
+    while at < n:
+        size = segment
+        while True:  # a word longer than a segment widens it
+            part = raw[at : at + size]
+            space = _SPACE[part]
+            if at + size >= n:
+                break
+            last = np.flatnonzero(space)
+            if len(last):
+                part, space = part[: last[-1] + 1], space[: last[-1] + 1]
+                break
+            size *= 2
+        edge = np.diff(np.r_[True, space, True].astype(np.int8))
+        first, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        starts.append(first + at)
+        codes.append(Hashes(part).of(first, stop))
+        at += len(part)
+    return (np.concatenate(starts), np.concatenate(codes)) if starts else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
+@dataclass(frozen=True)
+class Windows:
+    """Windows of `length` letters: their anchors, each followed by a context of `context` letters."""
+
+    length: int
+    context: int
+    gram: int
+    kind: int = 0
+
+    @property
+    def reach(self) -> int:
+        return self.length - self.context + 1
+
+    def anchors(self, letters: np.ndarray, begin: np.ndarray, end: np.ndarray, segment: int = SEGMENT) -> tuple[np.ndarray, ...] | None:
+        """(row, position, least and most offset of its windows, context hash, surroundings digest) for each anchor.
+
+        Row i is letters[begin[i]:end[i]]; rows don't overlap. Rows are hashed together; those
+        longer than a segment are taken in segments of windows, so memory is bounded by it.
+        """
+        if int((end - begin).max(initial=0)) <= segment:
+            part = self._some(letters, begin, end, begin, end)
+            return None if part is None else self._finish(letters, begin, end, *part)
+        rows = []
+        for i, (a, z) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
+            for first in range(a, z - self.length + 1, segment):
+                last = min(first + segment, z - self.length + 1)  # windows [first, last)
+                base, stop = first, min(z, last + self.length - 1)
+                part = self._some(letters[base:stop], *(np.array([x]) for x in (0, stop - base, 0, stop - base)))
+                rows.append([np.full(len(part[0]), i), part[1] + base, *part[2:]])
+                if len(rows) > 1 and rows[-2][0][-1] == i and rows[-2][1][-1] == rows[-1][1][0]:  # the anchor goes on
+                    rows[-2][2][-1] = rows[-1][2][0]
+                    rows[-1] = [x[1:] for x in rows[-1]]
+                    if not len(rows[-1][0]):
+                        rows.pop()
+        return self._finish(letters, begin, end, *(np.concatenate(x) for x in zip(*rows, strict=True))) if rows else None
+
+    def _some(self, letters: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...] | None:
+        many = np.maximum(last - first - self.length + 1, 0)
+        total = int(many.sum())
+        if not total:
+            return None
+        row = np.repeat(np.arange(len(begin)), many)
+        window = np.arange(total) + np.repeat(first - (np.cumsum(many) - many), many)
+        hashes = Hashes(letters)
+        at = np.arange(len(letters) - self.context + 1)
+        if len(at) >> BITS:
+            raise ValueError("segments and windows must stay below 2**24 letters together")
+        bits = np.uint64(BITS)
+        # the low bits hold the position: the least key is the leftmost of the lowest hashes
+        key = ((hashes.of(at, at + min(self.gram, self.context)) >> bits) << bits) | at.astype(np.uint64)
+        size = 1
+        while size * 2 <= self.reach:
+            key = np.minimum(key[:-size], key[size:])
+            size *= 2
+        if size < self.reach:
+            key = np.minimum(key[: len(key) - (self.reach - size)], key[self.reach - size :])
+        chosen = (key[window] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        new = np.flatnonzero(np.r_[True, (chosen[1:] != chosen[:-1]) | (row[1:] != row[:-1])])
+        stop = np.r_[new[1:], total] - 1
+        pos = chosen[new]
+        return row[new], pos, pos - window[stop], pos - window[new], hashes.of(pos, pos + self.context)
+
+    def _finish(self, letters: np.ndarray, begin: np.ndarray, end: np.ndarray, row: np.ndarray, pos: np.ndarray, dmin: np.ndarray, dmax: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        left, right = np.maximum(pos - (self.reach - 1), begin[row]), np.minimum(pos + self.length, end[row])
+        view, unit, digest = memoryview(np.ascontiguousarray(letters)).cast("B"), letters.itemsize, xxhash.xxh3_64_intdigest
+        around = np.fromiter((digest(view[a:z], d) for a, z, d in zip((unit * left).tolist(), (unit * right).tolist(), (pos - left).tolist(), strict=True)), np.uint64, len(pos))
+        return row, pos - begin[row], dmin, dmax, (h & ~np.uint64(1)) | np.uint64(self.kind), around
+
+
+def byte_windows(length: int) -> Windows:
+    return Windows(length, length // 2 + 1, GRAM)
+
+
+def word_windows(words: int) -> Windows:
+    return Windows(words, min(PASSAGE_CONTEXT, words), PASSAGE_CONTEXT, 1)
 
 
 # --- deep-shallow sorting
@@ -274,8 +340,12 @@ def shared_windows(lefts: list[bytes], rights: list[bytes], length: int, depth:
 
 # --- the distributed part
 
-_SPANS = "doc long, key long, lo long, hi long"
-_ASKED = "doc long, key long, lo long, hi long, h long, pos long, dmin int, dmax int, hot boolean"
+_SPANS = "doc long, key long, lo int, hi int, kind int"
+_ANCHORS = "h long, around long, doc long, key long, pos int, dmin int, dmax int, state int"
+_SETTLED = f"{_ANCHORS}, hot boolean"
+_PARTS = "tag int, h long, w long, doc long, key long, pos int, dmin int, dmax int, state int, before binary, after binary"
+#: What an anchor or a digest is known to be: alone so far, the one of several that goes on, or settled and only a span. Asked anchors that are spans too have ALSO added.
+OPEN, SEVERAL, DONE, ALSO = 0, 1, 2, 4
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -284,170 +354,256 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select(F.coalesce("doc_id", F.lit(-1)).alias("doc"), F.xxhash64("raw", F.col("doc_id").isNull()).alias("key"), "doc_id", F.col("raw").cast("binary").alias("raw"))
 
 
-def _longs(*cols: np.ndarray) -> list[pa.Array]:
-    return [pa.array(np.ascontiguousarray(c).view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in cols]
+def _batch(cols: Iterable[np.ndarray | list], schema: str) -> pa.RecordBatch:
+    kinds = {"long": (pa.int64(), np.int64), "int": (pa.int32(), np.int32), "boolean": (pa.bool_(), bool)}
+    names, types = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    out = []
+    for c, t in zip(cols, types, strict=True):
+        if t == "binary":
+            out.append(pa.array(c, pa.binary()))
+        else:
+            c = np.ascontiguousarray(c)
+            out.append(pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(kinds[t][1]), kinds[t][0]))
+    return pa.RecordBatch.from_arrays(out, list(names))
+
+
+def _runs(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(run of each row, first row of each run) from the rows where one begins."""
+    return np.cumsum(new) - 1, np.flatnonzero(new)
 
 
-def _find_anchors(length: int):  # noqa: ANN202
-    names = ["h", "around", "doc", "key", "pos", "dmin", "dmax"]
+def _several(kind: np.ndarray, run: np.ndarray, first: np.ndarray, doc: np.ndarray, key: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """For each run of equal rows, sorted by doc and key: does it stand in several places (kind 0) or several rows (kind 1)?"""
+    size = np.bincount(run)
+    last = first + size - 1
+    known = np.bincount(run, weights=state == SEVERAL) > 0
+    return known | np.where(kind[first] == 0, size > 1, (doc[first] != doc[last]) | (key[first] != key[last]))
 
+
+def combined(cols: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows (a, b, doc, key, ..., state) with those that settle each other here marked; one goes on for each equal (a, b) of them.
+
+    It keeps what many rows share from growing with them in the shuffle: the kind is the low bit of a.
+    """
+    order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
+    cols = [c[order] for c in cols]
+    a, b, doc, key, state = cols[0], cols[1], cols[2], cols[3], cols[-1]
+    run, first = _runs(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    many = _several(a & a.dtype.type(1), run, first, doc, key, state)
+    state = np.where(many[run], DONE, OPEN)
+    state[first[many]] = SEVERAL
+    return [*cols[:-1], state]
+
+
+def _find_anchors(windows: list[Windows], segment: int = SEGMENT, chunk: int = CHUNK):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                found = [(anchors(r.as_buffer() if r.is_valid else b"", length), d, k) for d, k, r in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True)]
-                found = [x for x in found if x[0] is not None]
-                if found:
-                    sizes = [len(x[0][0]) for x in found]
-                    cols = [np.concatenate([x[0][i] for x in found]) for i in range(5)]
-                    doc, key = (np.repeat(np.array([x[i] for x in found], np.int64), sizes) for i in (1, 2))
-                    h, around, pos, dmin, dmax = cols
-                    yield pa.RecordBatch.from_arrays(_longs(h, around, doc, key, pos, dmin, dmax), names)
+        fresh_task("suffixes")
+        held: list[list[np.ndarray]] = []
+        size = 0
+        for doc, key, raws in _by_bytes(batches, segment):
+            # a line feed between rows ends their last words
+            data = np.frombuffer(b"\n".join([*raws, b""]), np.uint8)
+            ends = np.cumsum(np.fromiter((len(r) + 1 for r in raws), np.int64, len(raws))) - 1
+            begins = np.r_[0, ends[:-1] + 1]
+            for w in windows:
+                if w.kind:
+                    starts, letters = word_codes(data)
+                    edges = np.searchsorted(starts, np.r_[begins, len(data)])
+                    found = w.anchors(letters, edges[:-1], edges[1:], segment)
+                else:
+                    found = w.anchors(data, begins, ends, segment)
+                if found is not None:
+                    row, pos, dmin, dmax, h, around = found
+                    held.append([h, around, doc[row], key[row], pos, dmin, dmax, np.zeros(len(row), np.int64)])
+                    size += len(row)
+            if size >= chunk:
+                yield _batch(combined([np.concatenate(x) for x in zip(*held, strict=True)]), _ANCHORS)
+                held, size = [], 0
+        if size:
+            yield _batch(combined([np.concatenate(x) for x in zip(*held, strict=True)]), _ANCHORS)
 
     return run
 
 
-def _settle(length: int):  # noqa: ANN202
-    """Rows sorted by (h, around): equal surroundings settle each other; different ones in a group ask for their texts."""
-    names = ["doc", "key", "lo", "hi", "h", "pos", "dmin", "dmax", "hot"]
+def _by_bytes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[memoryview]]]:
+    """(doc, key, texts) of some rows together, of about `size` bytes; a longer text comes alone."""
+    for b in batches:
+        doc, key = (b.column(i).to_numpy() for i in (0, 1))
+        at = total = 0
+        for i, n in enumerate(pc.binary_length(b.column(2)).to_pylist()):
+            if i > at and total + n > size:
+                yield doc[at:i], key[at:i], [x.as_buffer() for x in b.column(2)[at:i]]
+                at, total = i, 0
+            total += n
+        if at < b.num_rows:
+            yield doc[at:], key[at:], [x.as_buffer() for x in b.column(2)[at:]]
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (h, around, doc, key): equal surroundings settle each other; different ones in a group ask for their texts.
+
+    A group of at most HOT rows, or the rows of one surroundings in a hot one, are looked at together;
+    copies have been combined before, so there is one row for each chunk that holds some.
+    """
+    fresh_task("suffixes")
 
     def work(c: list[np.ndarray]) -> pa.RecordBatch | None:
-        h, around, doc, key, pos, dmin, dmax, hot = c
+        h, around, doc, key, pos, dmin, dmax, state, hot = c
+        kind = h & 1
         new_h = np.r_[True, h[1:] != h[:-1]]
-        new = new_h | np.r_[True, around[1:] != around[:-1]]
-        group, sub = np.cumsum(new_h) - 1, np.cumsum(new) - 1
-        alone = np.bincount(sub)[sub] == 1
-        several = np.bincount(group, weights=new)[group] > 1
-        done = ~alone
-        # one of each surroundings is asked for; a hot group's are compared by window digests, settled ones too
-        ask = new & (several | (hot > 0))
+        group, head = _runs(new_h)
+        run, first = _runs(new_h | np.r_[True, around[1:] != around[:-1]])
+        many = _several(kind, run, first, doc, key, state)
+        done = many[run]
+        # of the words several rows must have some in the group, for bytes several surroundings do
+        mixed = np.bincount(group, weights=np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | new_h[1:]]) > 1
+        mixed |= np.bincount(group, weights=state == SEVERAL) > 0
+        runs = np.bincount(group[first]) > 1
+        worth = (runs & (mixed | (kind[head] == 0)))[group] | (hot > 0)
+        lead = np.zeros(len(h), bool)
+        lead[first] = True
+        # all rows that aren't settled ask, and one of each surroundings that is
+        ask = worth & (lead | ~done)
         keep = done | ask
-        lo, hi = np.where(done, pos - dmax, -1), np.where(done, pos - dmin + length, -1)
-        asked = np.where(ask, pos, -1)
         if not keep.any():
             return None
-        cols = _longs(*(x[keep] for x in (doc, key, lo, hi, h, asked)))
-        return pa.RecordBatch.from_arrays([*cols, pa.array(dmin[keep].astype(np.int32)), pa.array(dmax[keep].astype(np.int32)), pa.array(hot[keep] > 0)], names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        size, goal = 0, 1 << 17
-        for b in batches:
-            held.append([x.to_numpy(zero_copy_only=False).astype(np.int64) for x in b.columns])
-            size += b.num_rows
-            if size >= goal:
-                cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-                # a hot group is spread by its surroundings; others end where h ends
-                ends = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | ((cols[7][1:] > 0) & (cols[1][1:] != cols[1][:-1])))
-                cut = int(ends[-1]) + 1 if len(ends) else 0
-                if cut and (out := work([x[:cut] for x in cols])) is not None:
-                    yield out
-                held, size = [[x[cut:] for x in cols]], len(cols[0]) - cut
-                goal = max(1 << 17, 2 * size)
-        if size and (out := work([np.concatenate(x) for x in zip(*held, strict=True)])) is not None:
-            yield out
-
-    return run
+        known = np.where(ask, np.where(done, SEVERAL | ALSO, OPEN), DONE)
+        return _batch([*(x[keep] for x in (h, around, doc, key, pos, dmin, dmax, known)), hot[keep] > 0], _SETTLED)
+
+    held: list[list[np.ndarray]] = []
+    size, goal = 0, 1 << 17
+    for b in batches:
+        rows = [x.to_numpy(zero_copy_only=False).astype(np.int64) for x in b.columns]
+        lone = rows[7] == DONE
+        if lone.any():
+            yield _batch([*(x[lone] for x in rows[:8]), rows[8][lone] > 0], _SETTLED)
+            rows = [x[~lone] for x in rows]
+        if not len(rows[0]):
+            continue
+        held.append(rows)
+        size += len(rows[0])
+        if size >= goal:
+            cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+            # a hot group is spread by its surroundings; others end where h ends
+            ends = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | ((cols[8][1:] > 0) & (cols[1][1:] != cols[1][:-1])))
+            cut = int(ends[-1]) + 1 if len(ends) else 0
+            if cut and (out := work([x[:cut] for x in cols])) is not None:
+                yield out
+            held, size = [[x[cut:] for x in cols]], len(cols[0]) - cut
+            goal = max(1 << 17, 2 * size)
+    if size and (out := work([np.concatenate(x) for x in zip(*held, strict=True)])) is not None:
+        yield out
+
+
+def _cut(length: int, words: int, chunk: int = CHUNK):  # noqa: ANN202
+    """What asked anchors are compared by: the texts around those of bytes (tag 0); digests of the windows of hot ones (tag 2) and of words (tag 3)."""
+    half = length - length // 2 - 1
 
+    def contexts(rows: list[tuple]) -> pa.RecordBatch:
+        h, doc, key, pos, dmin, dmax, state, before, after = zip(*rows, strict=True)
+        none = [0] * len(h)
+        return _batch([none, h, none, doc, key, pos, dmin, dmax, state, before, after], _PARTS)
 
-def _cut_contexts(length: int):  # noqa: ANN202
-    half = length - length // 2 - 1
+    def digests(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        w1, w2, doc, key, pos, state = combined([np.concatenate(x) for x in zip(*held, strict=True)])
+        n, none = len(w1), np.zeros(len(w1), np.int64)
+        return _batch([2 + (w1 & np.uint64(1)).astype(np.int64), w1, w2, doc, key, pos, none, none, state, [None] * n, [None] * n], _PARTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task("suffixes")
+        held: list[list[np.ndarray]] = []
+        size = 0
         for b in batches:
             out: list[tuple] = []
+            out_bytes = 0
             for doc, key, raw, asked in zip(*(b.column(i) for i in range(4)), strict=True):
-                text = raw.as_buffer().to_pybytes()
+                data = raw.as_buffer()
                 d, k = doc.as_py(), key.as_py()
+                parts: dict[tuple[int, int], list[np.ndarray]] = {}
                 for a in asked.as_py():
-                    p = a["pos"]
-                    out.append((a["h"], d, k, p, a["dmin"], a["dmax"], text[max(0, p - half) : p][::-1], text[p : p + length]))
-                if len(out) >= 4096:
-                    yield _contexts(out)
-                    out = []
+                    p, state = a["pos"], SEVERAL if a["state"] & 3 == SEVERAL else OPEN
+                    if a["h"] & 1 == 0 and not a["hot"]:
+                        out.append((a["h"], d, k, p, a["dmin"], a["dmax"], state, bytes(data[max(0, p - half) : p])[::-1], bytes(data[p : p + length])))
+                        out_bytes += length + half
+                    else:
+                        parts.setdefault((a["h"] & 1, state), []).append(np.arange(p - a["dmax"], p - a["dmin"] + 1))
+                for (kind, state), starts in sorted(parts.items()):
+                    letters = word_codes(np.frombuffer(data, np.uint8))[1] if kind else np.frombuffer(data, np.uint8)
+                    start = np.unique(np.concatenate(starts))
+                    n, unit, size_of = len(start), letters.itemsize, words if kind else length
+                    view = memoryview(np.ascontiguousarray(letters)).cast("B")
+                    both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[unit * s : unit * (s + size_of)]) for s in start.tolist()]), ">u8").astype(np.uint64).reshape(-1, 2)
+                    held.append([(both[:, 0] & ~np.uint64(1)) | np.uint64(kind), both[:, 1], np.full(n, d), np.full(n, k), start, np.full(n, state)])
+                    size += n
+                if out_bytes >= 1 << 22:
+                    yield contexts(out)
+                    out, out_bytes = [], 0
+                if size >= chunk:
+                    yield digests(held)
+                    held, size = [], 0
             if out:
-                yield _contexts(out)
+                yield contexts(out)
+        if size:
+            yield digests(held)
 
     return run
 
 
-def _contexts(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True))
-    kinds = [pa.int64()] * 6 + [pa.binary()] * 2
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["h", "doc", "key", "pos", "dmin", "dmax", "before", "after"])
+def _compare(length: int, words: int):  # noqa: ANN202
+    """Spans from rows sorted by (tag, h, w, doc, key, pos): groups of texts are sorted, equal digests settle each other.
 
-
-def _compare(length: int):  # noqa: ANN202
-    depth = length // 2 + 1
+    Of digests one row is held back, or those that one row of the input has of one digest.
+    """
 
     def spans(group: list[tuple]) -> Iterator[tuple]:
         first = {}
         for g in group:
-            first.setdefault((g[6], g[7]), g)
+            first.setdefault((g[9], g[10]), g)
         own = list(first.values())  # the same text may have been cut twice from wholly equal rows
         if len(own) < 2:
             return
-        for g, ranges in zip(own, shared_windows([g[6] for g in own], [g[7] for g in own], length, depth), strict=True):
+        depth = length // 2 + 1
+        head = own[0][10][:depth]
+        depth = depth if all(g[10][:depth] == head for g in own) else 0  # a hash may deceive
+        for g, ranges in zip(own, shared_windows([g[9] for g in own], [g[10] for g in own], length, depth), strict=True):
             for low, high in ranges:
-                a, z = max(low, g[4]), min(high, g[5])
+                a, z = max(low, g[6]), min(high, g[7])
                 if a <= z:
-                    yield g[1], g[2], g[3] - z, g[3] - a + length
+                    yield g[3], g[4], g[5] - z, g[5] - a + length, 0
+
+    def span(r: tuple) -> tuple:
+        return (r[3], r[4], r[5], r[5] + (words if r[0] == 3 else length), r[0] - 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task("suffixes")
         group: list[tuple] = []
+        name, shown = None, False  # the run of equal digests, and whether it stands in several places
         for b in batches:
             out: list[tuple] = []
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if group and group[-1][0] != row[0]:
+                if row[0] == 0:
+                    if group and group[-1][1] != row[1]:
+                        out += spans(group)
+                        group = []
+                    group.append(row)
+                    continue
+                if row[8] == DONE:
+                    out.append(span(row))
+                    continue
+                if name is None:
                     out += spans(group)
-                    group = []
+                if name != row[:3]:
+                    group, name, shown = [], row[:3], False
+                here = row[3:5] if row[0] == 3 else row[3:6]
+                shown = shown or row[8] == SEVERAL or any(here != g[3 : 3 + len(here)] for g in group[:1])
                 group.append(row)
+                if shown:
+                    out += map(span, group)
+                    group = []
             if out:
-                yield _span_batch(out)
-        if group and (out := list(spans(group))):
-            yield _span_batch(out)
-
-    return run
-
-
-def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc", "key", "lo", "hi"])
-
-
-def _window_digests(length: int):  # noqa: ANN202
-    """128-bit digests of all windows of hot anchors: (w1, w2, doc, key, lo)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for doc, key, raw, asked in zip(*(b.column(i) for i in range(4)), strict=True):
-                data = np.frombuffer(raw.as_buffer(), np.uint8)
-                start = np.unique(np.concatenate([np.arange(a["pos"] - a["dmax"], a["pos"] - a["dmin"] + 1) for a in asked.as_py()]))
-                w1, w2 = (Hashes(data, i).of(start, start + length) for i in (0, 1))
-                n = len(start)
-                yield pa.RecordBatch.from_arrays(_longs(w1, w2, np.full(n, doc.as_py()), np.full(n, key.as_py()), start), ["w1", "w2", "doc", "key", "lo"])
-
-    return run
-
-
-def _equal_windows(length: int):  # noqa: ANN202
-    """Spans of windows that stand in more than one place, from rows sorted by digest and place; one row is held back."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, shown = None, False  # the last place, and whether it is known to repeat
-        for b in batches:
-            out = []
-            for w1, w2, doc, key, lo in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                row = (w1, w2, doc, key, lo)
-                if row == held:
-                    continue  # the same place, from wholly equal rows
-                again = held is not None and held[:2] == row[:2]
-                if held is not None and (shown or again):
-                    out.append((*held[2:], held[4] + length))
-                held, shown = row, again
-            if out:
-                yield _span_batch(out)
-        if held is not None and shown:
-            yield _span_batch([(*held[2:], held[4] + length)])
+                yield _batch(zip(*out, strict=True), _SPANS)
+        if name is None and group and (out := list(spans(group))):
+            yield _batch(zip(*out, strict=True), _SPANS)
 
     return run
 
@@ -457,37 +613,43 @@ def _spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc", "key")
 
 
-def repeated_spans(rows: DataFrame, length: int = 400, hot: int = HOT) -> DataFrame:
-    """(doc, key, lo, hi) for rows named by _keyed: byte ranges covered by strings of `length` bytes that start elsewhere too.
+def repeated_spans(rows: DataFrame, length: int = 400, hot: int = HOT, passage: int = PASSAGE) -> DataFrame:
+    """(doc, key, lo, hi, kind) for rows named by _keyed: what strings of `length` bytes that start elsewhere too cover, in bytes (kind 0).
 
-    Ranges may overlap and repeat.
+    Kind 1: what passages of `passage` words that another row has too cover, in words. Ranges may overlap and repeat.
 
-    Anchors (about one for each length / 4 bytes) are shuffled by context hash and settled where
-    whole surroundings agree; only one text of each different surroundings is then fetched and
-    compared. Groups of more than `hot` anchors never meet in a task: they are spread by their
-    surroundings, and what is left of them is compared through digests of its windows. Both ways give the same ranges.
+    Anchors (about one for each length / 4 bytes and one for each 18 words) that agree in their whole
+    surroundings are combined before the shuffle, then shuffled by context hash and settled; only one text
+    of each different surroundings is then fetched and compared. Context and surroundings are compared by 64-bit
+    hashes each, 128 bits together; texts of different surroundings byte by byte. Groups of more than `hot`
+    anchors never meet in a task: they are spread by their surroundings, and what is left of them is
+    compared through 128-bit digests of its windows. Both ways give the same ranges. Which groups are hot is
+    estimated beforehand from one row in `hot` / 1000, as range partitioning samples its keys; it only decides where rows go.
     """
-    long_rows = rows.where(F.octet_length("raw") >= length)
-    found = written(long_rows.select("doc", "key", "raw").mapInArrow(_find_anchors(length), "h long, around long, doc long, key long, pos long, dmin long, dmax long"), "anchors")
-    heavy = written(found.groupBy("h").count().where(F.col("count") > hot).select("h", F.lit(1).cast("long").alias("hot")), "anchors-hot")
+    windows = [byte_windows(length), *([word_windows(passage)] if passage else [])]
+    long_rows = rows.where(F.octet_length("raw") >= min(length, 2 * passage - 1 if passage else length)).select("doc", "key", "raw")
+    found = long_rows.mapInArrow(_find_anchors(windows), _ANCHORS)
+    every = max(1, min(64, hot // 1000))
+    some = long_rows.where(F.pmod(F.xxhash64("doc", "key"), F.lit(every)) == 0).mapInArrow(_find_anchors(windows), _ANCHORS)
+    heavy = written(some.where(F.col("state") != DONE).groupBy("h").count().where(F.col("count") > hot // every).select("h", F.lit(1).cast("long").alias("hot")), "anchors-hot")
     any_hot = not heavy.isEmpty()
-    marked = found.join(heavy, "h", "left").withColumn("hot", F.coalesce("hot", F.lit(0).cast("long"))) if any_hot else found.withColumn("hot", F.lit(0).cast("long"))
-    spread = marked.select("h", "around", "doc", "key", "pos", "dmin", "dmax", "hot")
-    spread = spread.repartition("h", F.when(F.col("hot") > 0, F.col("around"))) if any_hot else spread.repartition("h")
-    settled = written(spread.sortWithinPartitions("h", "around", "doc", "key", "pos").mapInArrow(_settle(length), _ASKED), "settled")
-    spans = settled.where("lo >= 0").select("doc", "key", "lo", "hi")
-    asked = settled.where("pos >= 0").groupBy("doc", "key").agg(
-        F.collect_list(F.when(~F.col("hot"), F.struct("h", "pos", "dmin", "dmax"))).alias("asked"), F.collect_list(F.when(F.col("hot"), F.struct("h", "pos", "dmin", "dmax"))).alias("hot_asked")
-    )
-    joined = _spread(rows).join(asked, ["doc", "key"])
-    # doc_id goes along unused: with the same columns the exchange is the one that remove_repeats reads
-    contexts = joined.where(F.size("asked") > 0).select("doc", "key", "raw", "asked", "doc_id").mapInArrow(_cut_contexts(length), "h long, doc long, key long, pos long, dmin long, dmax long, before binary, after binary")
-    compared = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_compare(length), _SPANS)
-    out = spans.unionByName(compared)
+    # spans that are settled already need no place: they go anywhere
+    away = F.when(F.col("state") == DONE, F.xxhash64("doc", "key", "pos")).otherwise(F.col("h"))
     if any_hot:
-        digests = joined.where(F.size("hot_asked") > 0).select("doc", "key", "raw", "hot_asked", "doc_id").mapInArrow(_window_digests(length), "w1 long, w2 long, doc long, key long, lo long")
-        out = out.unionByName(digests.repartition("w1", "w2").sortWithinPartitions("w1", "w2", "doc", "key", "lo").mapInArrow(_equal_windows(length), _SPANS))
-    return out
+        marked = found.join(heavy, "h", "left").withColumn("hot", F.coalesce("hot", F.lit(0).cast("long")))
+        spread = marked.select("h", "around", "doc", "key", "pos", "dmin", "dmax", "state", "hot").repartition(away, F.when(F.col("hot") > 0, F.col("around")))
+    else:
+        spread = found.withColumn("hot", F.lit(0).cast("long")).repartition(away)
+    settled = written(spread.sortWithinPartitions("h", "around", "doc", "key", "pos").mapInArrow(_settle, _SETTLED), "settled")
+    kind, size = F.col("h").bitwiseAND(F.lit(1)).cast("int"), F.when(F.col("h").bitwiseAND(F.lit(1)) == 0, length).otherwise(passage)
+    spans = settled.where("state >= 2").select("doc", "key", (F.col("pos") - F.col("dmax")).alias("lo"), (F.col("pos") - F.col("dmin") + size).alias("hi"), kind.alias("kind"))
+    asked = settled.where("state <> 2").groupBy("doc", "key").agg(F.collect_list(F.struct("h", "pos", "dmin", "dmax", "state", "hot")).alias("asked"))
+    # doc_id goes along unused: with the same columns the exchange is the one that remove_repeats reads
+    joined = _spread(rows).join(asked, ["doc", "key"]).select("doc", "key", "raw", "asked", "doc_id")
+    parts = joined.mapInArrow(_cut(length, passage), _PARTS)
+    away = F.when(F.col("state") == DONE, F.xxhash64("doc", "key", "pos")).otherwise(F.xxhash64("h", "w"))
+    compared = parts.repartition(away).sortWithinPartitions("tag", "h", "w", "doc", "key", "pos").mapInArrow(_compare(length, passage), _SPANS)
+    return spans.unionByName(compared)
 
 
 def merge_ranges(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -501,31 +663,36 @@ def merge_ranges(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, z) for a, z in out]
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, hot: int = HOT) -> DataFrame:
-    """One row for each input row: (doc_id long, n_bytes, n_removed, n_spans long, kept binary).
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, hot: int = HOT, passage: int = PASSAGE) -> DataFrame:
+    """One row for each input row: (doc_id long, n_bytes, n_removed, n_spans long, kept binary, n_passage_words long).
 
     Each byte covered by a string of `length` bytes that also starts anywhere else, in another row
-    or the same, goes; strings are judged on the input, and matches never cross rows. Null texts are
-    empty; texts shorter than `length` stay whole; repeated rows are repeats of each other; null ids
-    are kept; extra columns are ignored; no rows give no rows.
+    or the same, goes; strings are judged on the input, and matches never cross rows. n_passage_words
+    counts the words covered by passages of `passage` words (0: not looked for) that another row holds
+    too; they stay in the text unless they are long enough in bytes. Null texts are empty; texts
+    shorter than `length` stay whole; repeated rows are repeats of each other in bytes, and one row
+    for passages; null ids are kept; extra columns are ignored; no rows give no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task("suffixes")
         for b in batches:
-            sizes, removed, counts, kept = [], [], [], []
+            sizes, removed, counts, kept, said = [], [], [], [], []
             for raw, spans in zip(b.column(1), b.column(2), strict=True):
-                data = raw.as_buffer().to_pybytes()
-                runs = merge_ranges([(s["lo"], s["hi"]) for s in spans.as_py() or []])
+                data, own = raw.as_buffer().to_pybytes(), spans.as_py() or []
+                runs, words = (merge_ranges([(s["lo"], s["hi"]) for s in own if s["kind"] == kind]) for kind in (0, 1))
                 ends = [0, *(x for r in runs for x in r), len(data)]
                 kept.append(b"".join(data[a:z] for a, z in zip(ends[::2], ends[1::2], strict=True)))
                 sizes.append(len(data))
                 removed.append(len(data) - len(kept[-1]))
                 counts.append(len(runs))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                said.append(sum(z - a for a, z in words))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts)), pa.array(kept, pa.binary()), pa.array(said, pa.int64())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_passage_words"]
+            )
 
     keyed = _keyed(docs, doc_id, text)
     # a set: wholly equal rows find the same ranges, which meet before the shuffle
-    spans = repeated_spans(keyed, length, hot).groupBy("doc", "key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    spans = repeated_spans(keyed, length, hot, passage).groupBy("doc", "key").agg(F.collect_set(F.struct("lo", "hi", "kind")).alias("spans"))
     rows = _spread(keyed).join(spans, ["doc", "key"], "left")
-    return rows.select("doc_id", "raw", "spans", "doc", "key").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-
+    return rows.select("doc_id", "raw", "spans", "doc", "key").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_passage_words long")

@@ -1,9 +1,12 @@
+import hashlib
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from skein.llm import suffixes
+from skein.llm.queries import op5_suffix_dedup
 
 
 def slow_removed(texts, length):
@@ -56,23 +59,73 @@ def test_deep_shallow_order_and_prefixes():
 
 def test_anchors_do_not_depend_on_segments():
     rng = random.Random(4)
-    raw = bytes(rng.choice(b"abc ") for _ in range(3000)) + b"z" * 700
-    whole = suffixes.anchors(raw, 40)
+    texts = [bytes(rng.choice(b"abc ") for _ in range(3000)) + b"z" * 700, b"", bytes(rng.choice(b"ab ") for _ in range(900))]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    end = np.cumsum([len(t) for t in texts])
+    begin = end - [len(t) for t in texts]
+    whole = suffixes.byte_windows(40).anchors(data, begin, end)
     for segment in (37, 200, 1999):
-        for a, b in zip(whole, suffixes.anchors(raw, 40, segment), strict=True):
+        for a, b in zip(whole, suffixes.byte_windows(40).anchors(data, begin, end, segment), strict=True):
             assert a.tolist() == b.tolist()
+    alone = suffixes.byte_windows(40).anchors(np.frombuffer(texts[2], np.uint8), np.array([0]), np.array([900]))
+    assert [x[whole[0] == 2].tolist() for x in whole[1:]] == [x.tolist() for x in alone[1:]]
+    starts, codes = suffixes.word_codes(data)
+    for segment in (5, 64, 2000):
+        for a, b in zip((starts, codes), suffixes.word_codes(data, segment), strict=True):
+            assert a.tolist() == b.tolist()
+    assert len(codes) == len(data.tobytes().split())
+
+
+def slow_passages(rows, words):
+    """Words of each text covered by passages of so many words that a different row has too."""
+    split = [(t or "").encode().split() for _, t, *_ in rows]
+    where = defaultdict(set)
+    for r, w in zip(rows, split, strict=True):
+        for i in range(len(w) - words + 1):
+            where[tuple(w[i : i + words])].add(r[:2])
+    out = []
+    for w in split:
+        held = set()
+        for i in range(len(w) - words + 1):
+            if len(where[tuple(w[i : i + words])]) > 1:
+                held |= set(range(i, i + words))
+        out.append(len(held))
+    return out
 
 
-@pytest.mark.parametrize(("length", "hot"), [(40, 20_000), (41, 3), (16, 5)])
-def test_against_brute_force(spark, length, hot):
+@pytest.mark.parametrize(("length", "hot", "passage"), [(40, 20_000, 8), (41, 3, 5), (16, 5, 3), (400, 100_000, 50)])
+def test_against_brute_force(spark, length, hot, passage):
     texts = corpus(random.Random(length), 60, length)
+    texts += ["\n".join(t.split()) for t in texts[5:25]]  # the same words, other bytes
     rows = [(i if i % 7 else None, t if t else None, "x") for i, t in enumerate(texts)]
     rows.append(rows[-1])
     texts.append(texts[-1])
     df = spark.createDataFrame(rows, "doc_id long, text string, raw string")
-    got = suffixes.remove_repeats(df, length=length, hot=hot).collect()
+    got = suffixes.remove_repeats(df, length=length, hot=hot, passage=passage).collect()
     want = slow_removed([t.encode() for t in texts], length)
-    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == Counter((r[0], *w) for r, w in zip(rows, want, strict=True))
+    said = slow_passages(rows, passage)
+    assert any(said) and any(w[1] for w in want)
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept), r.n_passage_words) for r in got) == Counter((r[0], *w, n) for r, w, n in zip(rows, want, said, strict=True))
+
+
+def test_query_against_brute_force(spark, sf):
+    """The registered query at its own length over the whole table."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = slow_removed([(t or "").encode() for _, t in rows], 400)
+    said = slow_passages(rows, 50)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_passage_words) for r in op5_suffix_dedup(spark, sf).collect()}
+    assert got == {r[0]: (*w[:3], hashlib.sha256(w[3]).hexdigest(), n) for r, w, n in zip(rows, want, said, strict=True)}
+
+
+def test_chunks_combine_copies():
+    """Many copies of one passage leave one row for each chunk that goes on; all others are settled at once."""
+    n = 1_000_000
+    a, b = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    doc = np.arange(n)
+    state = suffixes.combined([a, b, doc, doc, np.zeros(n, np.int64)])[-1]
+    assert (state == suffixes.SEVERAL).sum() == 1 and (state == suffixes.DONE).sum() == n - 1
+    state = suffixes.combined([a + np.uint64(1), b, doc * 0, doc * 0, np.zeros(n, np.int64)])[-1]
+    assert (state == suffixes.OPEN).all()  # words of one row only
 
 
 def test_empty_table(spark):
