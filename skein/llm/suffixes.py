@@ -506,8 +506,16 @@ def _cut(length: int, words: int, chunk: int = CHUNK):  # noqa: ANN202
 
     def digests(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         w1, w2, doc, key, pos, state = combined([np.concatenate(x) for x in zip(*held, strict=True)])
-        n, none = len(w1), np.zeros(len(w1), np.int64)
-        return _batch([2 + (w1 & np.uint64(1)).astype(np.int64), w1, w2, doc, key, pos, none, none, state, [None] * n, [None] * n], _PARTS)
+        tag, more = 2 + (w1 & np.uint64(1)).astype(np.int64), np.zeros(len(w1), np.int64)
+        # settled windows side by side are one span
+        done = np.flatnonzero(state == DONE)
+        done = done[np.lexsort((pos[done], key[done], doc[done], tag[done]))]
+        step = [tag[done], doc[done], key[done], pos[done] - np.arange(len(done))]
+        head = np.flatnonzero(np.any([np.r_[True, x[1:] != x[:-1]] for x in step], axis=0)) if len(done) else done
+        more[done[head]] = np.diff(np.r_[head, len(done)]) - 1
+        keep = np.r_[np.flatnonzero(state != DONE), done[head]]
+        cols = [x[keep] for x in (tag, w1, w2, doc, key, pos, more, more, state)]
+        return _batch([*cols, *[[None] * len(keep)] * 2], _PARTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh_task("suffixes")
@@ -550,10 +558,7 @@ def _cut(length: int, words: int, chunk: int = CHUNK):  # noqa: ANN202
 
 
 def _compare(length: int, words: int):  # noqa: ANN202
-    """Spans from rows sorted by (tag, h, w, doc, key, pos): groups of texts are sorted, equal digests settle each other.
-
-    Of digests one row is held back, or those that one row of the input has of one digest.
-    """
+    """Spans from rows sorted by (tag, h, w, doc, key, pos): groups of texts are sorted, equal digests settle each other."""
 
     def spans(group: list[tuple]) -> Iterator[tuple]:
         first = {}
@@ -571,39 +576,49 @@ def _compare(length: int, words: int):  # noqa: ANN202
                 if a <= z:
                     yield g[3], g[4], g[5] - z, g[5] - a + length, 0
 
-    def span(r: tuple) -> tuple:
-        return (r[3], r[4], r[5], r[5] + (words if r[0] == 3 else length), r[0] - 2)
+    def digest_spans(c: list[np.ndarray]) -> pa.RecordBatch | None:
+        tag, w1, w2, doc, key, pos, more, state = c
+        run, first = _runs(np.r_[True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]) | (tag[1:] != tag[:-1])])
+        shown = _several(tag - 2, run, first, doc, key, state)[run] | (state == DONE)
+        if not shown.any():
+            return None
+        tag, doc, key, pos, more = (x[shown] for x in (tag, doc, key, pos, more))
+        return _batch([doc, key, pos, pos + more + np.where(tag == 3, words, length), tag - 2], _SPANS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh_task("suffixes")
         group: list[tuple] = []
-        name, shown = None, False  # the run of equal digests, and whether it stands in several places
+        held: list[list[np.ndarray]] = []
+        size, goal = 0, 1 << 17
         for b in batches:
             out: list[tuple] = []
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if row[0] == 0:
-                    if group and group[-1][1] != row[1]:
-                        out += spans(group)
-                        group = []
-                    group.append(row)
-                    continue
-                if row[8] == DONE:
-                    out.append(span(row))
-                    continue
-                if name is None:
+            digests = int(np.count_nonzero(b.column(0).to_numpy()))  # the last rows of a batch
+            for row in zip(*(c.to_pylist() for c in b.slice(0, b.num_rows - digests).columns), strict=True):
+                if group and group[-1][1] != row[1]:
                     out += spans(group)
-                if name != row[:3]:
-                    group, name, shown = [], row[:3], False
-                here = row[3:5] if row[0] == 3 else row[3:6]
-                shown = shown or row[8] == SEVERAL or any(here != g[3 : 3 + len(here)] for g in group[:1])
-                group.append(row)
-                if shown:
-                    out += map(span, group)
                     group = []
+                group.append(row)
+            if digests:
+                out += spans(group)
+                group = []
             if out:
                 yield _batch(zip(*out, strict=True), _SPANS)
-        if name is None and group and (out := list(spans(group))):
+            if not digests:
+                continue
+            held.append([b.column(i).to_numpy()[b.num_rows - digests :].astype(np.int64) for i in (0, 1, 2, 3, 4, 5, 7, 8)])
+            size += digests
+            if size >= goal:  # equal digests may go on; copies have been combined, so there is a row for each chunk at most
+                c = [np.concatenate(x) for x in zip(*held, strict=True)]
+                ends = np.flatnonzero((c[1][1:] != c[1][:-1]) | (c[2][1:] != c[2][:-1]))
+                cut = int(ends[-1]) + 1 if len(ends) else 0
+                if cut and (found := digest_spans([x[:cut] for x in c])) is not None:
+                    yield found
+                held, size = [[x[cut:] for x in c]], len(c[0]) - cut
+                goal = max(1 << 17, 2 * size)
+        if group and (out := list(spans(group))):
             yield _batch(zip(*out, strict=True), _SPANS)
+        if size and (found := digest_spans([np.concatenate(x) for x in zip(*held, strict=True)])) is not None:
+            yield found
 
     return run
 
