@@ -667,7 +667,7 @@ def repeated_spans(rows: DataFrame, length: int = 400, hot: int = HOT, passage:
     return spans.unionByName(compared)
 
 
-def merge_ranges(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def merge_ranges(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs of the bytes that the ranges cover."""
     out: list[list[int]] = []
     for lo, hi in sorted(spans):
@@ -693,9 +693,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         fresh_task("suffixes")
         for b in batches:
             sizes, removed, counts, kept, said = [], [], [], [], []
-            for raw, spans in zip(b.column(1), b.column(2), strict=True):
-                data, own = raw.as_buffer().to_pybytes(), spans.as_py() or []
-                runs, words = (merge_ranges([(s["lo"], s["hi"]) for s in own if s["kind"] == kind]) for kind in (0, 1))
+            edge = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(b.column(2)), 0).to_numpy(zero_copy_only=False))]
+            flat = b.column(2).flatten()
+            lo, hi, kinds = (x.to_numpy() for x in flat.flatten())
+            for raw, a, z in zip(b.column(1), edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                data = raw.as_buffer().to_pybytes()
+                first, last, words_of = lo[a:z], hi[a:z], kinds[a:z] == 1
+                runs, words = (merge_ranges(zip(first[k].tolist(), last[k].tolist(), strict=True)) for k in (~words_of, words_of)) if z > a else ([], [])
                 ends = [0, *(x for r in runs for x in r), len(data)]
                 kept.append(b"".join(data[a:z] for a, z in zip(ends[::2], ends[1::2], strict=True)))
                 sizes.append(len(data))
