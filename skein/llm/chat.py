@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from skein.llm.common import written
+from skein.llm.common import map_arrow, written
 
 
 @dataclass(frozen=True)
@@ -125,7 +125,7 @@ def format_branches(messages: DataFrame, template: ChatTemplate | None = None, t
                 spans.append([{"start": a, "length": n} for a, n in own])
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(texts, pa.string()), pa.array(spans, spans_type)], ["tree", "leaf", "rank", "score", "formatted", "loss_spans"])
 
-    return grouped.mapInArrow(run, out)
+    return map_arrow(grouped, run, out, "chat")
 
 
 def from_turns(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:

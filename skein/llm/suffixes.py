@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import fresh_task, written
+from skein.llm.common import map_arrow, written
 
 GRAM = 32
 #: Groups with more anchors than this are settled by window digests instead of in one task: about 100 MB of texts.
@@ -397,7 +397,6 @@ def combined(cols: list[np.ndarray]) -> list[np.ndarray]:
 
 def _find_anchors(windows: list[Windows], segment: int = SEGMENT, chunk: int = CHUNK):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_task("suffixes")
         held: list[list[np.ndarray]] = []
         size = 0
         for doc, key, raws in _by_bytes(batches, segment):
@@ -445,7 +444,6 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A group of at most HOT rows, or the rows of one surroundings in a hot one, are looked at together;
     copies have been combined before, so there is one row for each chunk that holds some.
     """
-    fresh_task("suffixes")
 
     def work(c: list[np.ndarray]) -> pa.RecordBatch | None:
         h, around, doc, key, pos, dmin, dmax, state, hot = c
@@ -518,7 +516,6 @@ def _cut(length: int, words: int, chunk: int = CHUNK):  # noqa: ANN202
         return _batch([*cols, *[[None] * len(keep)] * 2], _PARTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_task("suffixes")
         held: list[list[np.ndarray]] = []
         size = 0
         for b in batches:
@@ -586,7 +583,6 @@ def _compare(length: int, words: int):  # noqa: ANN202
         return _batch([doc, key, pos, pos + more + np.where(tag == 3, words, length), tag - 2], _SPANS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_task("suffixes")
         group: list[tuple] = []
         held: list[list[np.ndarray]] = []
         size, goal = 0, 1 << 17
@@ -643,9 +639,9 @@ def repeated_spans(rows: DataFrame, length: int = 400, hot: int = HOT, passage:
     """
     windows = [byte_windows(length), *([word_windows(passage)] if passage else [])]
     long_rows = rows.where(F.octet_length("raw") >= min(length, 2 * passage - 1 if passage else length)).select("doc", "key", "raw")
-    found = long_rows.mapInArrow(_find_anchors(windows), _ANCHORS)
+    found = map_arrow(long_rows, _find_anchors(windows), _ANCHORS, "suffixes")
     every = max(1, min(64, hot // 1000))
-    some = long_rows.where(F.pmod(F.xxhash64("doc", "key"), F.lit(every)) == 0).mapInArrow(_find_anchors(windows), _ANCHORS)
+    some = map_arrow(long_rows.where(F.pmod(F.xxhash64("doc", "key"), F.lit(every)) == 0), _find_anchors(windows), _ANCHORS, "suffixes")
     heavy = written(some.where(F.col("state") != DONE).groupBy("h").count().where(F.col("count") > hot // every).select("h", F.lit(1).cast("long").alias("hot")), "anchors-hot")
     any_hot = not heavy.isEmpty()
     # spans that are settled already need no place: they go anywhere
@@ -655,15 +651,15 @@ def repeated_spans(rows: DataFrame, length: int = 400, hot: int = HOT, passage:
         spread = marked.select("h", "around", "doc", "key", "pos", "dmin", "dmax", "state", "hot").repartition(away, F.when(F.col("hot") > 0, F.col("around")))
     else:
         spread = found.withColumn("hot", F.lit(0).cast("long")).repartition(away)
-    settled = written(spread.sortWithinPartitions("h", "around", "doc", "key", "pos").mapInArrow(_settle, _SETTLED), "settled")
+    settled = written(map_arrow(spread.sortWithinPartitions("h", "around", "doc", "key", "pos"), _settle, _SETTLED, "suffixes"), "settled")
     kind, size = F.col("h").bitwiseAND(F.lit(1)).cast("int"), F.when(F.col("h").bitwiseAND(F.lit(1)) == 0, length).otherwise(passage)
     spans = settled.where("state >= 2").select("doc", "key", (F.col("pos") - F.col("dmax")).alias("lo"), (F.col("pos") - F.col("dmin") + size).alias("hi"), kind.alias("kind"))
     asked = settled.where("state <> 2").groupBy("doc", "key").agg(F.collect_list(F.struct("h", "pos", "dmin", "dmax", "state", "hot")).alias("asked"))
     # doc_id goes along unused: with the same columns the exchange is the one that remove_repeats reads
     joined = _spread(rows).join(asked, ["doc", "key"]).select("doc", "key", "raw", "asked", "doc_id")
-    parts = joined.mapInArrow(_cut(length, passage), _PARTS)
+    parts = map_arrow(joined, _cut(length, passage), _PARTS, "suffixes")
     away = F.when(F.col("state") == DONE, F.xxhash64("doc", "key", "pos")).otherwise(F.xxhash64("h", "w"))
-    compared = parts.repartition(away).sortWithinPartitions("tag", "h", "w", "doc", "key", "pos").mapInArrow(_compare(length, passage), _SPANS)
+    compared = map_arrow(parts.repartition(away).sortWithinPartitions("tag", "h", "w", "doc", "key", "pos"), _compare(length, passage), _SPANS, "suffixes")
     return spans.unionByName(compared)
 
 
@@ -690,7 +686,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh_task("suffixes")
         for b in batches:
             sizes, removed, counts, kept, said = [], [], [], [], []
             edge = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(b.column(2)), 0).to_numpy(zero_copy_only=False))]
@@ -714,4 +709,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # a set: wholly equal rows find the same ranges, which meet before the shuffle
     spans = repeated_spans(keyed, length, hot, passage).groupBy("doc", "key").agg(F.collect_set(F.struct("lo", "hi", "kind")).alias("spans"))
     rows = _spread(keyed).join(spans, ["doc", "key"], "left")
-    return rows.select("doc_id", "raw", "spans", "doc", "key").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_passage_words long")
+    return map_arrow(rows.select("doc_id", "raw", "spans", "doc", "key"), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_passage_words long", "suffixes")

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import json
 import os
 import re
 import struct
-import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -21,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.common import P, shared_dir, written
+from skein.llm.common import P, keeps_cache, map_arrow, written
 
 #: Frequencies add up to 2**BITS; a lane's state lies in [2**31, 2**63) and moves 32 bits at a time.
 BITS = 20
@@ -50,7 +47,7 @@ class TextEncoder:
     with an added token or a zero byte, and those of other kinds of tokenizers, are encoded whole.
     """
 
-    def __init__(self, path: str, cache_entries: int = 400_000):
+    def __init__(self, path: str, cache_entries: int = 50_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -172,6 +169,7 @@ class TextEncoder:
 
 
 _encoders: dict[str, TextEncoder] = {}
+keeps_cache("tokens", _encoders.clear)
 
 
 def _encoder(path: str) -> TextEncoder:
@@ -282,7 +280,7 @@ _TOKENS = "shard int, block long, first long, doc_ids array<long>, lens array<lo
 _BLOCKS = "shard int, block long, first long, doc_ids array<long>, lens array<long>, payload binary"
 
 
-def _slices(batch: pa.RecordBatch, column: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about `size` bytes of text each."""
     lens = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = (np.cumsum(lens, dtype=np.int64) - lens) // size
@@ -292,18 +290,10 @@ def _slices(batch: pa.RecordBatch, column: int, size: int = 1 << 22) -> Iterator
             yield batch.slice(a, z - a)
 
 
-def _give_back() -> None:
-    """Return what earlier tasks of a reused Python worker left free to the system."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-
-
 def _tokenise(tokenizer: str, end_id: int, block_tokens: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64())), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _give_back()
         encoder, shard = _encoder(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype)
         names: list[int | None] = []
@@ -311,7 +301,7 @@ def _tokenise(tokenizer: str, end_id: int, block_tokens: int) -> Callable[[Itera
         parts: list[np.ndarray] = []
         size = block = first = 0
         for batch in batches:
-            for piece in _slices(batch, 1):
+            for piece in _slices(batch, 1):  # texts share the work on their common pieces
                 for name, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1)), strict=True):
                     names.append(name)
                     lens.append(len(ids) + 1)
@@ -368,11 +358,11 @@ def write_tokens(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *named, F.xxhash64(F.col(text).cast("string")).alias(f"{P}tie"))
     by = [*(f"{P}k{i}" for i in range(len(keys))), f"{P}tie"]
     ranged = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by, "text")
-    tokens = written(ranged.select("doc_id", "text").mapInArrow(_tokenise(tokenizer, end_id, block_tokens), _TOKENS), "tokens")
+    tokens = written(map_arrow(ranged.select("doc_id", "text"), _tokenise(tokenizer, end_id, block_tokens), _TOKENS, "tokens"), "tokens")
     from tokenizers import Tokenizer
 
     dtype = "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
-    counted = tokens.select("ids").mapInArrow(_count(dtype), "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = map_arrow(tokens.select("ids"), _count(dtype), "id int, n long", "tokens").groupBy("id").agg(F.sum("n").alias("n"))
     freq = shared_frequencies({r.id: r.n for r in counted.collect()})
     sums = tokens.select("shard", F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).groupBy("shard").agg(F.sum("n").alias("n"))
     base, at = {}, 0
@@ -386,7 +376,7 @@ def write_tokens(
             payload = pa.array([coder.encode(np.frombuffer(x.as_py(), dtype)) for x in b.column(5)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), first, b.column(3), b.column(4), payload], [f.split()[0] for f in _BLOCKS.split(", ")])
 
-    tokens.mapInArrow(code, _BLOCKS).write.partitionBy("shard").parquet(f"{path}/blocks")
+    map_arrow(tokens, code, _BLOCKS, "tokens").write.partitionBy("shard").parquet(f"{path}/blocks")
     spark.createDataFrame([(int(i), int(freq[i])) for i in np.flatnonzero(freq)], "id int, freq long").coalesce(1).write.parquet(f"{path}/table")
 
 
@@ -404,7 +394,7 @@ def _decoded(spark: SparkSession, path: str, emit: Callable, schema: str) -> Dat
                 yield emit(b.column(1)[i].values, b.column(0)[i].as_py(), b.column(2)[i].values.to_numpy(zero_copy_only=False), coder.decode(b.column(3)[i].as_py()))
 
     blocks = spark.read.schema("block long, first long, doc_ids array<long>, lens array<long>, payload binary, shard int").parquet(f"{path}/blocks")
-    return blocks.select("first", "doc_ids", "lens", "payload").mapInArrow(run, schema)
+    return map_arrow(blocks.select("first", "doc_ids", "lens", "payload"), run, schema, "tokens")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -427,8 +417,3 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([names, pa.array(first + ends[:-1]), pa.array(lens.astype(np.int64)), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return _decoded(spark, path, emit, "doc_id long, start long, n_tokens long, ids_crc32 long")
-
-
-def fresh_path(spark: SparkSession) -> str:
-    """A new folder for token files in the shared folder."""
-    return f"{shared_dir(spark)}/token-files/{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import fold
+from skein.llm.common import fold, map_arrow
 from skein.llm.fitting import Logistic, class_weights, labelled_sample
 
 #: What a written sign may stand for, besides itself.
@@ -264,7 +264,7 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["gram", "n"])
 
-    rows = docs.select(F.col(text).cast("string")).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    rows = map_arrow(docs.select(F.col(text).cast("string")), run, "gram int, n long", "toxicity").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(_N**3, np.int64)
     for r in rows:
         counts[r.gram] = r.n
@@ -289,4 +289,4 @@ def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: s
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.score(b.column(1).to_pylist()))], ["doc_id", "score"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+    return map_arrow(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, "doc_id long, score double", "toxicity")
