@@ -1,4 +1,10 @@
-"""Quality classifier by compression: dictionaries of good and of bad text, their size difference calibrated."""
+"""Quality classifier by compression: dictionaries of good and of bad text, their size difference calibrated.
+
+The normalised difference of the compressed sizes carries the score. Two more inputs weigh it, without
+a threshold anywhere: the share n / (n + HALF) of a text of n bytes, since a short text's difference
+says less, and the plain compression ratio times that share, since what repeats itself compresses
+well with either dictionary.
+"""
 
 from __future__ import annotations
 
@@ -10,10 +16,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import fold
+from skein.llm.common import arrow_column, fold, map_arrow
 from skein.llm.fitting import Logistic, class_weights, labelled_sample
 
-CHUNK, DICT_BYTES, LEVEL, SHORT = 4096, 1 << 16, 3, 400
+CHUNK, DICT_BYTES, LEVEL, HALF = 4096, 1 << 16, 3, 400
 
 
 def _chunks(raw: bytes) -> list[bytes]:
@@ -22,7 +28,7 @@ def _chunks(raw: bytes) -> list[bytes]:
 
 def train_dictionary(texts: list[bytes], size: int = DICT_BYTES) -> bytes:
     """A zstandard dictionary, or the raw texts' first bytes where they are too few to train on."""
-    parts = [c for t in texts for c in _chunks(t)[:8] if len(c) >= 64]
+    parts = [c for t in texts for c in _chunks(t) if len(c) >= 64]
     try:
         return zstandard.train_dictionary(size, parts).as_bytes()
     except zstandard.ZstdError:
@@ -43,14 +49,11 @@ class Sizes:
             self.compress.append(zstandard.ZstdCompressor(**options).compress)
 
     def features(self, text: str | None) -> list[float]:
-        """Normalised difference and plain ratio, apart for short and long texts, and the log length of short ones."""
+        """Normalised difference, the same and the plain ratio by the text's share of certainty, and that share."""
         raw = (text or "").encode("utf-8", "surrogatepass")
         g, b, o = (sum(len(f(c)) for c in _chunks(raw)) for f in self.compress)
-        d, r, n = (b - g) / max(o, 1), o / max(len(raw), 1), len(raw)
-        if n < SHORT:
-            part = n / SHORT
-            return [0.0, 0.0, 0.0, 1.0, d * part, part, (r - 1.0) * part]
-        return [d, max(-0.2, min(0.2, d)), r, 0.0, 0.0, 0.0, 0.0]
+        d, r, share = (b - g) / max(o, 1), o / max(len(raw), 1), len(raw) / (len(raw) + HALF)
+        return [d, d * share, share, min(r, 1.5) * share]
 
 
 class QualityModel:
@@ -69,7 +72,7 @@ class QualityModel:
         self.good, self.bad = train_dictionary(books[1]), train_dictionary(books[0])
         self._sizes: Sizes | None = Sizes(self.good, self.bad)
         y = np.array([y for _, y in held], float)
-        x = np.array([self._sizes.features(t) for t, _ in held]).reshape(-1, 7)
+        x = np.array([self._sizes.features(t) for t, _ in held]).reshape(-1, 4)
         self.logistic = Logistic(x, y, class_weights(y, counts))
 
     def __getstate__(self) -> dict:
@@ -92,7 +95,7 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2, per_c
 def score(docs: DataFrame, model: QualityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each input row: (doc_id long, score double), the probability of label 1.
 
-    Whole texts are scored in one pass without a shuffle. Null and empty texts take the score of an
+    Whole texts of any length are scored, in chunks, in one pass without a shuffle. Null and empty texts take the score of an
     empty text; null ids and repeated rows stay; extra columns are ignored; no rows give no rows.
     With labels of one class only, all scores lean to it; without labels they are one half.
     """
@@ -101,16 +104,9 @@ def score(docs: DataFrame, model: QualityModel, doc_id: str = "doc_id", text: st
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.score(b.column(1).to_pylist()), pa.float64())], ["doc_id", "score"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+    return map_arrow(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, "doc_id long, score double", "quality")
 
 
 def score_column(model: QualityModel, text: Column) -> Column:
-    """The score as a column; a filter on it needs no shuffle."""
-    import pandas as pd
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for b in batches:
-            yield pd.Series(model.score(b.tolist()), dtype=float)
-
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, "double")(text.cast("string"))
+    """The score as a column, never null; a filter on it needs no shuffle. Nulls and repeated rows as in score()."""
+    return arrow_column(lambda texts: pa.array(model.score(texts.to_pylist()), pa.float64()), "double", "quality", text.cast("string"))
