@@ -9,8 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Share of a test item's characters that may differ, items too short to tell, and items' characters held at once.
-ERROR_RATE, MIN_CHARS, BLOCK_CHARS = 0.08, 32, 4_000_000
+from skein.llm.common import arrow_column, map_arrow
+
+#: Share of a test item's characters that may differ, and items' characters held at once.
+ERROR_RATE, BLOCK_CHARS = 0.08, 4_000_000
 
 
 def normalise(text: str) -> str:
@@ -56,16 +58,18 @@ class EditMatcher:
 
     An item with budget k is split into k + 1 pieces; k edits leave at least one piece whole, so an
     Aho-Corasick search for all pieces misses no match. Hits of an item whose windows overlap are
-    verified together, so a text costs no more than its length for each item.
+    verified together, so a text costs no more than its length for each item. Items too short for a
+    single edit are looked for as whole words, so that they aren't found inside longer ones; blank
+    items are in no text.
     """
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS):
+    def __init__(self, items: list[tuple[int, str]], error_rate: float = ERROR_RATE):
         self.items: list[tuple[int, str, int]] = []
         self.myers: dict[int, Myers] = {}
         pieces: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             text = normalise(text)
-            if len(text) < min_chars:
+            if not text:
                 continue
             k, at = int(error_rate * len(text)), len(self.items)
             self.items.append((item_id, text, k))
@@ -89,6 +93,8 @@ class EditMatcher:
             for at, offset in places:
                 _, item, k = self.items[at]
                 begin = end + 1 - size - offset
+                if not k and (text[begin - 1 : begin].isalnum() and begin or text[end + 1 : end + 2].isalnum()):
+                    continue
                 lo, hi = max(0, begin - k), min(len(text), begin + len(item) + k)
                 own = windows.setdefault(at, [])
                 if own and lo <= own[-1][1]:
@@ -104,6 +110,8 @@ class EditMatcher:
                 if hi - lo < len(item) - k:
                     continue
                 exact = text.find(item, lo, hi)
+                if not k:  # a window begins with an item
+                    exact = lo
                 if exact >= 0:
                     best = (0, exact + len(item))
                     break
@@ -119,12 +127,17 @@ class EditMatcher:
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> list[list[tuple[int, str]]]:
-    """The test items in blocks of about block_chars characters, so that what goes to the executors is bounded."""
+    """The test items in blocks of about block_chars characters, which bound what an executor holds; read once."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")).where("text is not null")
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-total // block_chars))
-    part = F.pmod(F.xxhash64("text"), F.lit(n))
-    return [[(r.item_id, r.text) for r in items.where(part == i).collect()] for i in range(n)]
+    blocks: list[list[tuple[int, str]]] = [[]]
+    size = 0
+    for r in items.toLocalIterator():
+        if size >= block_chars:
+            blocks.append([])
+            size = 0
+        blocks[-1].append((r.item_id, r.text))
+        size += len(r.text)
+    return blocks
 
 
 def find_leaks(
@@ -135,16 +148,16 @@ def find_leaks(
     item_id: str = "item_id",
     item_text: str = "text",
     error_rate: float = ERROR_RATE,
-    min_chars: int = MIN_CHARS,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """(doc_id long, item_id long, distance int, end_pos int): each test item that each text holds within its budget.
 
     Lower case and collapsed white space are compared; distance counts single-character edits. Items
     go to the executors in blocks of block_chars characters, one pass over the texts for each block,
-    without a shuffle. Null and empty texts hold nothing; null items and items under min_chars
-    characters are not looked for; null ids are carried; repeated rows and repeated items each give
-    their own rows; extra columns are ignored; an empty table gives no rows.
+    without a shuffle. Items too short for one edit are found as whole words. Null and empty texts hold
+    nothing; null and blank items are in no text; null ids are carried; repeated rows and repeated items
+    each give their own rows; very long texts are searched whole; extra columns are ignored; an empty
+    table gives no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = "doc_id long, item_id long, distance int, end_pos int"
@@ -152,33 +165,35 @@ def find_leaks(
     for block in _blocks(benchmark, item_id, item_text, block_chars):
 
         def run(batches: Iterator[pa.RecordBatch], block: list = block) -> Iterator[pa.RecordBatch]:
-            matcher = EditMatcher(block, error_rate, min_chars)
+            matcher = EditMatcher(block, error_rate)
             for b in batches:
                 out = [(d, *m) for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True) for m in matcher.matches(t.as_py())]
                 if out:
                     d, i, k, e = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(k, pa.int32()), pa.array(e, pa.int32())], ["doc_id", "item_id", "distance", "end_pos"])
 
-        part = rows.mapInArrow(run, schema)
+        part = map_arrow(rows, run, schema, "decontaminate")
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def is_leaked(benchmark: DataFrame, text: Column, item_id: str = "item_id", item_text: str = "text", error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> Column:
-    """Boolean column, never null: does this text hold a test item? A filter on it needs no shuffle."""
+def is_leaked(benchmark: DataFrame, text: Column, item_id: str = "item_id", item_text: str = "text", error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> Column:
+    """Boolean column, never null: does this text hold a test item? A filter on it needs no shuffle; repeated rows are alike."""
     held: Column = F.lit(False)
     for block in _blocks(benchmark, item_id, item_text, block_chars):
-        held = held | _flag(block, error_rate, min_chars)(text.cast("string"))
+        held = held | arrow_column(_Flag(block, error_rate), "boolean", "decontaminate", text.cast("string"))
     return held
 
 
-def _flag(block: list[tuple[int, str]], error_rate: float, min_chars: int):  # noqa: ANN202
-    import pandas as pd
+class _Flag:
+    """Whether texts hold an item; the matcher is built where it is used, once for a task."""
+
+    def __init__(self, block: list[tuple[int, str]], error_rate: float):
+        self.block, self.error_rate, self.matcher = block, error_rate, None
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = EditMatcher(block, error_rate, min_chars)
-        for b in batches:
-            yield b.map(lambda t: bool(matcher.matches(t, first=True)))
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"matcher": None}
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, "boolean")
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        self.matcher = self.matcher or EditMatcher(self.block, self.error_rate)
+        return pa.array([bool(self.matcher.matches(t.as_py(), first=True)) for t in texts], pa.bool_())

@@ -56,3 +56,33 @@ def test_tables(spark):
         kept = docs.where(~dc.is_leaked(bench, F.col("text"), block_chars=block_chars))
         assert sorted((str(r.doc_id) for r in kept.collect())) == ["1", "2", "3"]
     assert dc.find_leaks(docs.limit(0), bench).collect() == [] and dc.find_leaks(docs, bench.limit(0)).collect() == []
+
+
+def test_short_items_are_whole_words():
+    matcher = dc.EditMatcher([(1, "Red fox"), (2, ""), (3, "7"), (4, "é b")])
+    found = lambda t: sorted(i for i, _, _ in matcher.matches(t))
+    assert found("a red  FOX, 17 or 77") == [1] and found("7") == [3] and found("bored fox and red foxes, é bb") == [] and found("x é\nb 7.") == [3, 4]
+    assert matcher.matches("red fox red fox") == [(1, 0, 7)]
+
+
+def test_query_against_brute_force(spark, sf):
+    """Every item in every text of the whole table, by dynamic programming over all ends at once."""
+    import numpy as np
+
+    from skein.llm.queries import op6_benchmark_decontamination
+
+    items = [(r.item_id, dc.normalise(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    want = set()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        text = dc.normalise(r.text or "")
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        for item_id, item in items:
+            row = np.zeros(len(text) + 1, np.int64)
+            steps = np.arange(len(row))
+            for i, c in enumerate(item, 1):
+                new = np.r_[i, np.minimum(row[1:] + 1, row[:-1] + (codes != ord(c)))]
+                row = np.minimum.accumulate(new - steps) + steps
+            if row.min() <= int(dc.ERROR_RATE * len(item)):
+                want.add((r.doc_id, item_id, int(row.min())))
+    got = [(r.doc_id, r.item_id, r.distance) for r in op6_benchmark_decontamination(spark, sf).collect()]
+    assert want and len(got) == len(set(got)) and set(got) == want
