@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import P, written
+from skein.llm.common import P, map_arrow, written
 
 #: Rows in a block; resolution of the weights, which bounds the period of a schedule.
 BLOCK_DOCS, UNIT = 8, 1 << 16
@@ -49,13 +49,13 @@ def earliest_deadline(w: list[int], slots: int, most: list[int] | None = None) -
     return out
 
 
-def plan(blocks: dict[str | None, int], weights: dict[str | None, int]) -> Iterator[tuple[int, int, list, list[int], list[int]]]:
+def plan(blocks: dict[str | None, int], weights: dict[str | None, int], segment: int = UNIT) -> Iterator[tuple[int, int, list, list[int], list[int]]]:
     """Segments of the schedule: (first slot, slots, sources, weights, blocks of each source placed before).
 
     A phase runs until a source has no block left; then the others go on with their weights, so
     every block of every source is placed. After a whole period, as many slots as the weights'
     sum, each source has exactly its weight in blocks, so periods are alike and can be scheduled
-    apart. Only the broken period that ends a phase is worked out here, to see what is left.
+    apart; short ones come together, in about `segment` slots. Only the broken period that ends a phase is worked out here, to see what is left.
     """
     left = {s: n for s, n in sorted(blocks.items(), key=lambda x: (x[0] is not None, x[0] or "")) if n}
     done = dict.fromkeys(left, 0)
@@ -64,12 +64,15 @@ def plan(blocks: dict[str | None, int], weights: dict[str | None, int]) -> Itera
         names = list(left)
         share = gcd(*(weights[s] for s in names))
         w = [weights[s] // share for s in names]
-        for _ in range(min(left[s] // x for s, x in zip(names, w, strict=True))):
-            yield slot, sum(w), names, w, [done[s] for s in names]
-            slot += sum(w)
+        whole, most = min(left[s] // x for s, x in zip(names, w, strict=True)), max(1, segment // sum(w))
+        while whole:
+            n = min(whole, most)
+            yield slot, n * sum(w), names, w, [done[s] for s in names]
+            slot += n * sum(w)
+            whole -= n
             for s, x in zip(names, w, strict=True):
-                done[s] += x
-                left[s] -= x
+                done[s] += n * x
+                left[s] -= n * x
         if all(left.values()):
             part = earliest_deadline(w, sum(w), [left[s] for s in names])
             yield slot, len(part), names, w, [done[s] for s in names]
@@ -99,7 +102,7 @@ def _ranked(docs: DataFrame, doc_id: str, source: str) -> tuple[DataFrame, dict[
             yield pa.RecordBatch.from_arrays([pa.array([shard] * b.num_rows, pa.int32()), b.column(0), b.column(1), pa.array(at, pa.int64())], ["shard", "source", "doc_id", "at"])
 
     ranged = keys.repartitionByRange(n, "source", "doc_id").sortWithinPartitions("source", "doc_id")
-    rows = written(ranged.mapInArrow(run, "shard int, source string, doc_id long, at long"), "mix")
+    rows = written(map_arrow(ranged, run, "shard int, source string, doc_id long, at long", "mixing"), "mix")
     before, totals = {}, {}
     for r in sorted(rows.groupBy("shard", "source").count().collect(), key=lambda r: r.shard):
         before[r.shard, r.source] = totals.get(r.source, 0)
@@ -124,7 +127,8 @@ def mix(
     holds for the rest from there on, with their weights renormalised. No row is dropped or
     repeated. Weights default to row counts to the power of temperature; sources without a given
     weight, null among them, take the smallest given one. Repeated rows each have a place; extra
-    columns are ignored; no rows give no rows. Weights are multiples of 1 / unit of their sum. The
+    columns are ignored; no rows give no rows. Weights are multiples of 1 / unit of their sum, so
+    that against the weights as given the deviation may grow by a block in every 2 * unit slots. The
     driver holds a row for each period of about `unit` slots and each end of a source, with one count
     for each source.
     """
@@ -135,7 +139,7 @@ def mix(
     w = integer_weights({s: given.get(s, least) for s in totals}, unit)
     names = sorted(totals, key=lambda s: (s is not None, s or ""))
     index = {s: i for i, s in enumerate(names)}
-    segments = [(a, n, [index[s] for s in own], x, skip) for a, n, own, x, skip in plan({s: -(-n // block_docs) for s, n in totals.items()}, w)]
+    segments = [(a, n, [index[s] for s in own], x, skip) for a, n, own, x, skip in plan({s: -(-n // block_docs) for s, n in totals.items()}, w, unit)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -150,7 +154,7 @@ def mix(
                 yield pa.RecordBatch.from_arrays([sources, pa.array(block, pa.int64()), pa.array(range(r["slot"], r["slot"] + len(placed)), pa.int64())], ["source_no", "block", "slot"])
 
     schema = "slot long, slots long, own array<int>, w array<long>, skip array<long>"
-    slots = spark.createDataFrame(segments, schema).repartition(max(1, min(len(segments), 1024))).mapInArrow(run, "source_no int, block long, slot long")
+    slots = map_arrow(spark.createDataFrame(segments, schema).repartition(max(1, min(len(segments), 1024))), run, "source_no int, block long, slot long", "mixing")
     firsts = spark.createDataFrame([(k[0], k[1], index[k[1]], n) for k, n in before.items()], f"shard int, {P}s string, source_no int, {P}first long")
     placed = rows.join(F.broadcast(firsts), (rows["shard"] == firsts["shard"]) & rows["source"].eqNullSafe(firsts[f"{P}s"]))
     at = F.col("at") + F.col(f"{P}first")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import chat, decontaminate, fitting, licences, mixing, quality, simhash, suffixes, tokens, topk, toxicity
-from skein.llm.common import written
+from skein.llm.common import fresh_path, map_arrow, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +54,7 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return formatted.select("tree", "formatted", "loss_spans").mapInArrow(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_arrow(formatted.select("tree", "formatted", "loss_spans"), read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long", "chat")
 
 
 def _op3_sql() -> str:
@@ -92,7 +92,7 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokens.fresh_path(spark)
+    path = fresh_path(spark, "token-files")
     tokens.write_tokens(_table(spark, sf_dir, "documents"), path, str(public_tokenizers.path("byte_bpe_50k.json")))
     return tokens.read_digests(spark, path)
 
@@ -108,8 +108,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fitting.held_out(5, 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+#: Target weights of the sources; one without a weight takes the least of them.
+WEIGHTS: dict[str | None, float] = {f"src{i}": 1 / (1 + i) for i in range(20)}
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixing.mix(_table(spark, sf_dir, "documents"), WEIGHTS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.llm import mixing
+from skein.llm.queries import WEIGHTS, op10_mix_sources
 
 
 @pytest.mark.parametrize("unit", [7, 60, 65536])
@@ -50,3 +51,40 @@ def test_given_weights_hold_until_a_source_ends(spark):
     df = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 800, "a").otherwise("b").alias("source"))
     got = sorted(mixing.mix(df, {"a": 1.0, "b": 1.0}, block_docs=1).collect(), key=lambda r: r.slot)
     assert all(abs(sum(r.source == "a" for r in got[:n]) - n / 2) < 1 for n in range(1, 400))
+
+
+def slow_schedule(blocks, weights):
+    """Slot by slot with fractions: of the blocks whose window has begun the one with the earliest deadline, ties to the first source."""
+    order = sorted(blocks, key=lambda s: (s is not None, s or ""))
+    done, out, begun = dict.fromkeys(order, 0), [], 0
+    active, base = [s for s in order if blocks[s]], dict.fromkeys(order, 0)
+    while active:
+        total = sum(weights[s] for s in active)
+        t = len(out) - begun
+        share = {s: Fraction(weights[s], total) for s in active}
+        ready = [(-(-(done[s] - base[s] + 1) // share[s]), k, s) for k, s in enumerate(active) if (done[s] - base[s]) // share[s] <= t]
+        s = min(ready)[2]
+        out.append((s, done[s]))
+        done[s] += 1
+        if done[s] == blocks[s]:  # the others go on by their own
+            active, begun, base = [x for x in active if x != s], len(out), dict(done)
+    return out
+
+
+@pytest.mark.parametrize("table", ["0.001", "0.01"])
+def test_query_against_brute_force(spark, table):
+    at = f"/root/testdata/sf{table}"
+    ids = {}
+    for r in spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "source").collect():
+        ids.setdefault(r.source, []).append(r.doc_id)
+    weights = mixing.integer_weights({s: WEIGHTS.get(s, min(WEIGHTS.values())) for s in ids})
+    want = set()
+    for slot, (s, block) in enumerate(slow_schedule({s: -(-len(x) // 8) for s, x in ids.items()}, weights)):
+        want |= {(d, s, block, slot, k) for k, d in enumerate(sorted(ids[s])[8 * block : 8 * block + 8])}
+    got = [(r.doc_id, r.source, r.block, r.slot, r.offset) for r in op10_mix_sources(spark, at).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_short_periods_come_together():
+    segments = list(mixing.plan({"a": 3_000_000, "b": 1_000_000}, {"a": 3, "b": 1}))
+    assert len(segments) == -(-4_000_000 // mixing.UNIT) and sum(s[1] for s in segments) == 4_000_000
