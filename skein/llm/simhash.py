@@ -8,10 +8,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import P, written
+from skein.llm.common import P, arrow_column, map_arrow, written
 from skein.llm.graph import components
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -48,27 +48,42 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             fps = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return map_arrow(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, "doc_id long, fp long", "simhash")
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+_LOW = (1 << 48) - 1
+
+
 def variants(fps: DataFrame) -> DataFrame:
-    """(key long, block int, fp long): the radius-1 ball around each fingerprint in the 48 bits that each mask leaves.
+    """(key long, rest int): the radius-1 ball around each fingerprint in the 48 bits that each mask leaves.
 
     A link of three bits has a block holding one of them; with that block masked, two bits are
     left, which half-radius balls of both ends share. Each fingerprint emits 4 * (1 + 48) rows.
+    The fingerprint is turned until the masked block is on top; the key has the block's number there
+    and the variant's 48 bits below, and rest holds the masked bits and which bit was flipped, so
+    that both give the fingerprint back.
     """
     rows = []
     for b in range(BLOCKS):
-        block = ((1 << WIDTH) - 1) << (WIDTH * b)
-        rest = ((1 << 64) - 1) ^ block
-        for flip in [0, *(1 << i for i in range(64) if rest >> i & 1)]:
-            rows.append(F.struct(F.lit(_signed(rest)).alias("rest"), F.lit(_signed(flip)).alias("flip"), F.lit(b).alias("block")))
+        for i, flip in enumerate([0, *(1 << i for i in range(48))]):
+            rows.append(F.struct(F.lit(WIDTH * (BLOCKS - 1 - b)).alias("turn"), F.lit(flip | b << 48).alias("change"), F.lit(i).alias("flip")))
     v = fps.select("fp", F.explode(F.array(*rows)).alias("v"))
-    return v.select(F.col("fp").bitwiseAND(F.col("v.rest")).bitwiseXOR(F.col("v.flip")).alias("key"), F.col("v.block").alias("block"), "fp")
+    turned = v.select(F.expr("shiftleft(fp, v.turn) | shiftrightunsigned(fp, 64 - v.turn)").alias("t"), "v")
+    return turned.select(F.expr(f"(t & {_LOW}L) ^ v.change").alias("key"), F.expr("cast(shiftrightunsigned(t, 48) as int) * 64 + v.flip").alias("rest"))
+
+
+def _unpacked(key: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key with a masked block, block, fingerprint) of rows of variants()."""
+    flips = np.array([0, *(1 << i for i in range(48))], np.uint64)
+    block = (key >> np.uint64(48)).astype(np.int64)
+    low, top = key & np.uint64(_LOW), (rest >> 6).astype(np.uint64) << np.uint64(48)
+    turn = (WIDTH * (BLOCKS - 1 - block)).astype(np.uint64)
+    back = lambda x: (x >> turn) | (x << ((np.uint64(64) - turn) & np.uint64(63)))
+    return back(low), block, back((low ^ flips[rest & 63]) | top)
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -140,20 +155,15 @@ def links(fps: DataFrame) -> DataFrame:
 
         def flush(last: bool) -> pa.RecordBatch | None:
             nonlocal held, size, goal
-            key, block, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-            cut = len(key)
-            if not last:  # the last group may go on in the next batch
-                end = (key == key[-1]) & (block == block[-1])
-                cut = int(np.argmax(end)) if end[-1] else cut
-                while cut and key[cut - 1] == key[-1] and block[cut - 1] == block[-1]:
-                    cut -= 1
-            a, b = _links(key[:cut], block[:cut], fp[:cut])
-            held, size = [(key[cut:], block[cut:], fp[cut:])], len(key) - cut
+            key, rest = (np.concatenate(x) for x in zip(*held, strict=True))
+            cut = len(key) if last else int(np.searchsorted(key, key[-1]))  # the last group may go on in the next batch
+            a, b = _links(*_unpacked(key[:cut], rest[:cut]))
+            held, size = [(key[cut:], rest[cut:])], len(key) - cut
             goal = max(1 << 16, 2 * size)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"]) if len(a) else None
 
         for x in batches:
-            held.append((x.column(0).to_numpy().view(np.uint64), x.column(1).to_numpy(), x.column(2).to_numpy().view(np.uint64)))
+            held.append((x.column(0).to_numpy().view(np.uint64), x.column(1).to_numpy()))
             size += x.num_rows
             if size >= goal and (out := flush(False)) is not None:
                 yield out
@@ -162,8 +172,19 @@ def links(fps: DataFrame) -> DataFrame:
 
     # few fingerprints grow to many variants: spread them before
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = variants(fps.repartition(n)).repartition(F.col("block"), F.col("key")).sortWithinPartitions("block", "key")
-    return spread.mapInArrow(run, "a long, b long").distinct()
+    spread = variants(fps.repartition(n)).repartition("key").sortWithinPartitions("key")
+    return map_arrow(spread, run, "a long, b long", "simhash").distinct()
+
+
+def _marked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, fp, root long, component_id) for each row; rows of one component share the root, a fingerprint."""
+    docs_fp = written(fingerprints(docs, doc_id, text), "simhash")
+    nodes = docs_fp.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    found = components(links(nodes.select("fp")))
+    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    ids = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    labels = rooted.select("fp", "root").join(ids, "root").select("fp", "root", "component_id")
+    return docs_fp.join(labels, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -175,36 +196,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     row and take the smallest id of their component, or null; rows with one doc_id stay separate
     rows; extra columns are ignored; no rows give no rows.
     """
-    docs_fp = written(fingerprints(docs, doc_id, text), "simhash")
-    nodes = docs_fp.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    found = components(links(nodes.select("fp")))
-    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    labels = rooted.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return docs_fp.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return _marked(docs, doc_id, text).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, all columns, without near-duplicates: of each component the row with the smallest doc_id stays.
 
-    Of repeated rows with that doc_id one stays; rows with a null id stay only if no row of their component has an id,
-    and then one does.
+    Of rows that share this doc_id one stays, of those the one with the smallest fingerprint, and of
+    wholly repeated rows any. Components stay apart even where their rows share ids. Rows with a null
+    id stay only if no row of their component has an id, and then one does.
     """
-    marked = near_duplicates(docs, doc_id, text)
-    first = marked.groupBy("component_id").agg(F.count("*"), F.min("fp").alias(f"{P}any")).select(f"{P}any", F.col("component_id").alias(f"{P}id"))
-    named = first.where(F.col(f"{P}id").isNotNull()).select(f"{P}id")
-    kept = docs.join(named, docs[doc_id].cast("long") == named[f"{P}id"], "left_semi").dropDuplicates([doc_id])
-    nameless = docs.where(F.col(doc_id).isNull())
-    alone = marked.where("doc_id is null and component_id is null").select("fp").distinct()
-    return kept.unionByName(_one_of_each(nameless, text, alone))
-
-
-def _one_of_each(nameless: DataFrame, text: str, alone: DataFrame) -> DataFrame:
-    """One row without an id for each fingerprint in alone (components of rows without ids only)."""
-
-    @F.pandas_udf("long")
-    def fp_of(texts):  # noqa: ANN001, ANN202
-        return texts.map(lambda t: _signed(fingerprint(t)))
-
-    tagged = nameless.withColumn(f"{P}fp", fp_of(F.col(text).cast("string")))
-    return tagged.join(alone.withColumnRenamed("fp", f"{P}fp"), f"{P}fp", "left_semi").dropDuplicates([f"{P}fp"]).drop(f"{P}fp")
+    marked = written(_marked(docs, doc_id, text), "simhash-marked")
+    first = marked.groupBy("root").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "fp"))).alias("named"), F.min("fp").alias("any"))
+    own = marked.where("doc_id is not null").groupBy(F.col("doc_id").alias(f"{P}id")).agg((F.count("*") > 1).alias(f"{P}again"))
+    named = first.where("named is not null").select(F.col("named.doc_id").alias(f"{P}id"), F.col("named.fp").alias(f"{P}fp"))
+    named = written(named.join(own, f"{P}id"), "simhash-kept")
+    of_id = docs[doc_id].cast("long") == named[f"{P}id"]
+    kept = docs.join(named.where(~F.col(f"{P}again")), of_id, "left_semi")
+    again = named.where(f"{P}again")
+    if not again.isEmpty():  # rows that share an id are told apart by their fingerprints
+        met = docs.join(again, of_id)
+        met = met.where(_fp_column(docs[text].cast("string")) == F.col(f"{P}fp")).dropDuplicates([f"{P}id", f"{P}fp"])
+        kept = kept.unionByName(met.select(*(docs[c] for c in docs.columns)))
+    nameless = docs.where(F.col(doc_id).cast("long").isNull())
+    if not nameless.isEmpty():
+        alone = first.where("named is null").select(F.col("any").alias(f"{P}fp"))
+        tagged = nameless.withColumn(f"{P}fp", _fp_column(F.col(text).cast("string")))
+        kept = kept.unionByName(tagged.join(alone, f"{P}fp", "left_semi").dropDuplicates([f"{P}fp"]).drop(f"{P}fp"))
+    return kept
+
+
+def _fp_column(text: Column) -> Column:
+    """The fingerprint of a text column."""
+    return arrow_column(lambda texts: pa.array([_signed(fingerprint(t.as_py())) for t in texts], pa.int64()), "long", "simhash", text)

@@ -93,3 +93,20 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i + 1, i) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 200)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {200: 200}
+
+
+def test_rows_that_share_an_id_keep_their_components(spark):
+    far = ["alpha beta gamma delta epsilon", "one two three four five six", "rot grün blau gelb weiß"]
+    rows = [(1, far[0]), (1, far[1]), (2, far[1]), (2, far[0]), (3, far[2]), (3, far[2]), (None, far[2]), (None, "no id at all here"), (None, "no id at all here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(df).collect()), key=str)
+    assert got == sorted([(1, far[0]), (1, far[1]), (3, far[2]), (None, "no id at all here")], key=str)
+
+
+def test_rows_without_ids_leave_one_of_each_component(spark):
+    text = " ".join(f"word{i}" for i in range(3000))
+    near = text.replace("word7 ", "word8 ")
+    a, b = simhash.fingerprint(text), simhash.fingerprint(near)
+    assert 0 < (a ^ b).bit_count() <= 3
+    df = spark.createDataFrame([(None, text), (None, near)], "doc_id long, text string")
+    assert len(simhash.keep_one(df).collect()) == 1
