@@ -17,6 +17,7 @@ def local_session(cpus: int = 8, partitions: int = 8, **conf: str) -> SparkSessi
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
