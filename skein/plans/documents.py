@@ -23,7 +23,7 @@ def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", ids.safe_id(F.col("id")).alias("safe"), ids.shard_for(F.col("id")).alias("shard"), ids.object_name("md", F.col("id")).alias("path"))
 
 
-@query("""select doc_id, case when doc_id % 2 = 0 then 'hep-th/' || printf('%02d%02d%03d', 92 + doc_id % 7, 1 + doc_id % 12, doc_id % 1000) else printf('%02d%02d.%05d', 7 + doc_id % 17, 1 + doc_id % 12, doc_id) end as id from documents where doc_id < 1000""")
+@query("""select doc_id, case when doc_id % 2 = 0 then 'hep-th/' || printf('%02d%02d%03d', 92 + doc_id % 7, 1 + doc_id % 12, doc_id % 1000) else printf('%02d%02d.%05d', 7 + doc_id % 17, 1 + doc_id % 12, doc_id) end as id from documents""")
 def ids_from_object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects named after papers, found again through both readings of an underscore."""
     i = F.col("doc_id")
@@ -35,14 +35,14 @@ def ids_from_object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.join(found, "id", "left_semi").select("doc_id", "id")
 
 
-@query("""select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as collapsed, (n_chars // 10 * 10)::bigint as bucket, substr(regexp_replace(source || ' ' || lang, '[^A-Za-z0-9._-]', '-', 'g'), 1, 64) as device
-from documents where doc_id % 20 = 0 and not regexp_matches(text, '[^\\x00-\\x7F]')""")
+@query("""select doc_id, trim(regexp_replace(text, '[\\s\\v\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+', ' ', 'g')) as collapsed, (n_chars // 10 * 10)::bigint as bucket, substr(regexp_replace(source || ' ' || lang, '[^A-Za-z0-9._-]', '-', 'g'), 1, 64) as device
+from documents""")
 def scalar_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", text.collapse_spaces(F.col("text")).alias("collapsed"), text.width_bucket(F.col("n_chars"), 10).alias("bucket"), ids.device_name(F.concat_ws(" ", "source", "lang")).alias("device"))
 
 
-TABLES = """rows as (select d.doc_id, string_agg('| ' || n.n_nationkey || ' | ' || n.n_name || ' | x |', chr(10) order by n.n_nationkey) as body from documents d join nation n on n.n_regionkey = d.doc_id % 5 where d.doc_id < 200 group by 1)"""
+TABLES = """rows as (select d.doc_id, string_agg('| ' || n.n_nationkey || ' | ' || n.n_name || ' | x |', chr(10) order by n.n_nationkey) as body from documents d join nation n on n.n_regionkey = d.doc_id % 5 group by 1)"""
 
 
 def _with_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def bodies_without_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bodies.select("doc", "body")
 
 
-@query("""with l as (select doc_id as doc, unnest(string_split(text, chr(10))) as line from documents where doc_id % 3 = 0)
+@query("""with l as (select doc_id as doc, unnest(string_split(text, chr(10))) as line from documents)
 select doc, count(*) filter (where regexp_matches(line, '^\\s*\\|.*\\|\\s*$')) as pipe_lines, count(*) as n_lines from l group by 1""")
 def pipe_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("body"))
@@ -77,7 +77,7 @@ def pipe_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""with e(pos, line, want) as (values (0, 'a = b + c', true), (1, 'where the value = of all parts', false), (2, '# a = b', false), (3, 'E = mc^2   (1)', true), (4, 'short', false))
 select doc_id as doc, string_agg(case when want and not fenced then '$$ ' || line || ' $$' else line end, chr(10) order by pos) as body
-from (select doc_id, pos, line, want, false as fenced from documents, e where doc_id % 25 = 0 union all select doc_id, 5, '```', false, true from documents where doc_id % 25 = 0 union all select doc_id, 6, 'x = y + z', true, true from documents where doc_id % 25 = 0) group by 1""")
+from (select doc_id, pos, line, want, false as fenced from documents, e union all select doc_id, 5, '```', false, true from documents union all select doc_id, 6, 'x = y + z', true, true from documents) group by 1""")
 def mark_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = ["a = b + c", "where the value = of all parts", "# a = b", "E = mc^2   (1)", "short", "```", "x = y + z"]
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.lit("\n".join(lines)).alias("body"))
