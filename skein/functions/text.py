@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,12 +35,13 @@ def author_names(parsed: Column) -> Column:
     return F.filter(F.transform(F.coalesce(parsed, F.array().cast("array<array<string>>")), one), lambda n: n != "")
 
 
-def split_authors(raw: Column, nesting: int = 4) -> Column:
+def split_authors(raw: Column) -> Column:
     """[last, first, suffix] for each author of a free-text list; parentheses go, 'and' separates.
 
-    Nested parentheses are taken off from the inside, `nesting` levels deep.
+    Nested parentheses are taken off from the inside, as many times as there are opening ones.
     """
-    flat = reduce(lambda t, _: F.regexp_replace(t, r"\([^()]*\)", " "), range(nesting), raw)
+    levels = F.length(raw) - F.length(F.replace(raw, F.lit("("), F.lit("")))
+    flat = F.when(levels == 0, raw).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(levels, F.lit(1))), raw, lambda t, _: F.regexp_replace(t, r"\([^()]*\)", " ")))
     flat = F.regexp_replace(flat, r",?\s+and\s+", ", ")
     names = F.filter(F.transform(F.split(flat, r"[,;]"), collapse_spaces), lambda n: n != "")
 
@@ -102,6 +103,40 @@ def is_pdf(content: Column) -> Column:
     return F.coalesce(F.substring(content, 1, 5) == F.lit(b"%PDF-"), F.lit(False))
 
 
+_PLAIN_YAML = r"^[A-Za-z][A-Za-z0-9_]*([ .,/-]+[A-Za-z0-9_]+)*$"
+_WORDS_OF_YAML = ("true", "false", "null", "yes", "no", "on", "off", "y", "n")
+
+
+def yaml_scalar(value: Column) -> Column:
+    """A text as a YAML scalar: plain where it can't be read as anything else, in double quotes with escapes elsewhere."""
+    plain = value.rlike(_PLAIN_YAML) & ~F.lower(value).isin(*_WORDS_OF_YAML)
+    quoted = value
+    for a, b in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\t", "\\t"), ("\r", "\\r")):
+        quoted = F.replace(quoted, F.lit(a), F.lit(b))
+    return F.when(plain, value).otherwise(F.concat(F.lit('"'), quoted, F.lit('"')))
+
+
+def front_matter(texts: dict[str, Column], numbers: dict[str, Column] | None = None, lists: dict[str, Column] | None = None) -> Column:
+    """The YAML head of a Markdown file; nulls, empty texts and empty lists are left out, the order is kept."""
+    parts = [F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(f"{k}: "), yaml_scalar(c), F.lit("\n"))) for k, c in texts.items()]
+    parts += [F.concat(F.lit(f"{k}: "), c.cast("string"), F.lit("\n")) for k, c in (numbers or {}).items()]
+    parts += [F.when(F.size(c) > 0, F.concat(F.lit(f"{k}:\n"), F.array_join(F.transform(c, lambda x: F.concat(F.lit("- "), yaml_scalar(x), F.lit("\n"))), ""))) for k, c in (lists or {}).items()]
+    return F.concat(F.lit("---\n"), F.concat_ws("", *parts), F.lit("---\n\n"))
+
+
+def memory_floor(setting: str | float | None, total: int) -> int | None:
+    """Bytes of a memory floor: '4GB' and the like, a share of the total below 1, or bytes; nothing, zero or 'off' is none."""
+    if setting is None or str(setting).strip().lower() in ("", "off", "none", "0"):
+        return None
+    found = re.fullmatch(r"\s*([0-9.]+)\s*([kmgt]?)i?b?\s*", str(setting).lower())
+    if not found:
+        raise ValueError(f"can't read the memory floor {setting!r}")
+    n, unit = float(found[1]), found[2]
+    if n <= 0:
+        return None
+    return int(n * 1024 ** " kmgt".index(unit)) if unit else int(n * total) if n < 1 else int(n)
+
+
 def converter_in_front_matter(head: Column) -> Column:
     """The converter named in the front matter at the head of a Markdown file, or null."""
     block = F.substring_index(head, "\n---", 1)

@@ -135,6 +135,26 @@ def run_tallies(events: DataFrame) -> DataFrame:
     )
 
 
+def worker_states(events: DataFrame, slot: str = "slot") -> DataFrame:
+    """One checkpoint row for each worker: processed, done, failed, no_pdf, the last paper and when it came."""
+    s, kept = F.col("status"), events.where("status = 'done' or status = 'no_pdf' or status like 'failed%'")
+    return kept.groupBy(slot).agg(
+        F.count("*").alias("processed"), F.count_if(s == "done").alias("done"), F.count_if(s.startswith("failed")).alias("failed"), F.count_if(s == "no_pdf").alias("no_pdf"),
+        F.max_by("paper", F.struct("ts", "seq")).alias("last_paper"), F.max("ts").alias("updated_at"),
+    )
+
+
+def error_sample(errors: DataFrame, order: str, message: str, n: int = 20) -> DataFrame:
+    """The first n messages, for a report."""
+    return errors.where(F.col(message).isNotNull()).orderBy(order).limit(n).select(order, message)
+
+
+def median_step(series: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """(key, step): the median of the first differences of each series."""
+    steps = series.withColumn("step", F.col(value) - F.lag(value).over(W.partitionBy(key).orderBy(order)))
+    return steps.groupBy(key).agg(F.median("step").alias("step"))
+
+
 def worker_totals(workers: DataFrame) -> DataFrame:
     return workers.agg(*(F.sum(c).alias(c) for c in ("processed", "done", "failed", "no_pdf")))
 

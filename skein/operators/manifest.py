@@ -153,6 +153,28 @@ def upgrade_candidates(manifest: DataFrame, fallback: str, max_attempts: int | N
     return rows if max_attempts is None else rows.where(F.col("upgrade_attempts") < max_attempts)
 
 
+def rows_for_upgrade(manifest: DataFrame, asked: DataFrame, fallback: str) -> DataFrame:
+    """Rows of the ids asked for that are still done by the fallback; their status stays, moved ones drop out."""
+    still = manifest.where((F.col("status") == "done") & (F.col("converter") == fallback))
+    return still.join(asked.select("arxiv_id"), "arxiv_id", "left_semi")
+
+
+def unknown_converters(manifest: DataFrame) -> DataFrame:
+    """Done papers converted here (only that gives a count of characters) by a converter that isn't on record."""
+    return manifest.where("status = 'done' and converter is null and n_chars is not null").select("arxiv_id")
+
+
+def paper_row(manifest: DataFrame, asked: DataFrame) -> DataFrame:
+    """(arxiv_id, version, title, categories, attempts, known) of each id asked for; unknown papers get defaults."""
+    m = manifest.select("arxiv_id", F.col("version").alias("_v"), "title", "categories", "attempts", F.lit(True).alias("known"))
+    j = asked.select("arxiv_id", "version").join(m, "arxiv_id", "left")
+    none = F.array().cast("array<string>")
+    return j.select(
+        "arxiv_id", F.coalesce("version", "_v", F.lit("v1")).alias("version"), F.coalesce("title", "arxiv_id").alias("title"), F.coalesce("categories", none).alias("categories"),
+        F.coalesce("attempts", F.lit(0)).alias("attempts"), F.coalesce("known", F.lit(False)).alias("known"),
+    )
+
+
 def record_converters(manifest: DataFrame, pairs: DataFrame) -> DataFrame:
     """Fill the converter of done papers where it is unknown."""
     p = pairs.groupBy(F.col("arxiv_id").alias("_k")).agg(F.max("converter").alias("_c"))

@@ -98,6 +98,18 @@ def merge_shares(existing: dict[str, float], shares: dict[str, float] | None = N
     return {k: v for k, v in base.items() if k not in drop}
 
 
+def reporting(markers: DataFrame, own: str, dropped: DataFrame) -> DataFrame:
+    """(device): every device with a marker and this one, less those dropped, each once; they get equal shares."""
+    here = markers.sparkSession.createDataFrame([(own,)], "device string")
+    seen = markers.where("device is not null and device <> ''").select("device").unionByName(here).distinct()
+    return seen.join(dropped.select("device"), "device", "left_anti")
+
+
+def remaining(shards: DataFrame, finished: DataFrame) -> DataFrame:
+    """Shards a scan still has to read: those not among the finished ones, each once, so that a stopped scan goes on."""
+    return shards.select("shard").distinct().join(finished.select("shard"), "shard", "left_anti")
+
+
 def splits(plan: dict[str, Slice] | None) -> bool:
     return bool(plan) and sum(1 for lo, hi in plan.values() if lo < hi) > 1
 
@@ -114,17 +126,19 @@ def describe_slice(part: Slice | None) -> str:
 
 
 def owners(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """rows with the device whose range holds their bucket (a plan has at most 256 ranges)."""
-    p = F.broadcast(plan.select("device", "lo", "hi").limit(BUCKETS))
-    return rows.join(p, (F.col("bucket") >= F.col("lo")) & (F.col("bucket") < F.col("hi")), "left").drop("lo", "hi")
+    """rows with the device whose range holds their bucket; ranges are spelt out as buckets, so the join is by equality."""
+    return rows.join(_buckets(plan).select("device", "bucket"), "bucket", "left").select(*rows.columns, "device")
+
+
+def _buckets(plan: DataFrame) -> DataFrame:
+    """One row for each device and bucket it holds; empty ranges hold none."""
+    return plan.where("lo < hi").select("device", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("bucket"))
 
 
 def overlaps(plan: DataFrame) -> DataFrame:
-    """Pairs of devices whose ranges meet."""
-    a = plan.select(F.col("device").alias("device_a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"))
-    b = plan.select(F.col("device").alias("device_b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"))
-    meet: Column = (F.col("lo_a") < F.col("hi_b")) & (F.col("lo_b") < F.col("hi_a")) & (F.col("device_a") < F.col("device_b"))
-    return a.join(F.broadcast(b.limit(BUCKETS)), meet).select("device_a", "device_b")
+    """Pairs of devices whose ranges share a bucket."""
+    a, b = (_buckets(plan).withColumnRenamed("device", f"device_{x}") for x in "ab")
+    return a.join(b, "bucket").where("device_a < device_b").select("device_a", "device_b").distinct()
 
 
 def unassigned(plan: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -78,6 +78,31 @@ def remove(listing: DataFrame, tombstones: DataFrame) -> DataFrame:
     return listing.join(tombstones.select("name"), "name", "left_anti")
 
 
+def write_marker(spark: SparkSession, root: str, device: str, part: tuple[int, int] | None, state: str, at: str) -> None:
+    """A device's marker: its range, the state of its run and when it was written, as one JSON file of its folder."""
+    low, high = part or (None, None)
+    row = spark.createDataFrame([(device, low, high, state, at)], "device string, lo int, hi int, state string, updated_at string")
+    shaped = row.select("device", F.when(F.col("lo").isNotNull(), F.array("lo", "hi")).alias("range"), "updated_at", F.struct("state").alias("run"))
+    shaped.coalesce(1).write.mode("overwrite").json(f"{root}/{device}")
+
+
+def cached(frames: dict[str, DataFrame], source_files: DataFrame, root: str) -> dict[str, DataFrame]:
+    """Aggregates read back from CSV files, written anew where the sources' size has changed or a file is missing."""
+    spark = source_files.sparkSession
+
+    def there(path: str) -> bool:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+    stamp = f"{root}/_source"
+    had = spark.read.schema("bytes long").csv(stamp).first()[0] if there(stamp) else None
+    if cache_is_stale(source_files, had, not all(there(f"{root}/{k}/_SUCCESS") for k in frames)):
+        for k, df in frames.items():
+            write_csv(df, f"{root}/{k}")
+        source_files.agg(F.sum("size").alias("bytes")).write.mode("overwrite").csv(stamp)
+    return {k: spark.read.schema(df.schema).option("header", True).csv(f"{root}/{k}") for k, df in frames.items()}
+
+
 def cache_is_stale(source_files: DataFrame, cached_bytes: int | None, missing: bool) -> bool:
     """A cache of aggregates is rebuilt when its source's size changed or a file is missing."""
     now = source_files.agg(F.sum("size")).first()[0]

@@ -23,4 +23,4 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
-from skein.plans import corpus, documents, states  # noqa: E402, F401  (they register their queries)
+from skein.plans import corpus, documents, states, upkeep  # noqa: E402, F401  (they register their queries)

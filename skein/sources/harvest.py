@@ -80,6 +80,83 @@ def pages(urls: list[str], query: str, get: Callable = http_get, sleep: Callable
                 raise
 
 
+MOST_RESULTS = 30_000
+_Page = tuple[list[ElementTree.Element], int]
+
+
+def search_page(url: str, query: str, start: int, size: int, get: Callable = http_get, sleep: Callable[[float], None] = time.sleep, attempts: int = 5) -> _Page:
+    """(entries, total) of one page of a search, newest first. An empty page inside the listing is asked for again."""
+    for attempt in range(1, attempts + 1):
+        root = fetch(f"{url}?search_query={query}&sortBy=lastUpdatedDate&sortOrder=descending&start={start}&max_results={size}", get, attempts, sleep)
+        total = next((int(e.text or 0) for e in root.iter() if _local(e.tag) == "totalResults"), 0)
+        entries = [e for e in root.iter() if _local(e.tag) == "entry"]
+        if entries or start >= total:
+            break
+        if attempt < attempts:
+            sleep(3.0 * attempt)
+    return entries, total
+
+
+def newest_first(page: Callable[[int], _Page], since: str, until: str | None = None, most: int = MOST_RESULTS) -> tuple[list[ElementTree.Element], bool]:
+    """(entries updated in [since, until], whether none is missing).
+
+    Pages come newest first; reading stops after a page whose last entry is older than since. A listing
+    that is cut at `most` results, or by a page that stays empty, isn't complete.
+    """
+    found, start = [], 0
+    while start < most:
+        entries, total = page(start)
+        if not entries:
+            return found, start >= total
+        days = [next((e.text or "" for e in x.iter() if _local(e.tag) == "updated"), "")[:10] for x in entries]
+        found += [x for x, day in zip(entries, days, strict=True) if since <= day <= (until or "9999")]
+        start += len(entries)
+        if days[-1] < since or start >= total:
+            return found, True
+    return found, False
+
+
+class _SearchReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]):
+        self.options = options
+
+    def partitions(self) -> list[InputPartition]:
+        """One for each query: its pages follow each other until they are too old."""
+        return [InputPartition(q) for q in self.options.get("queries", "cat:*").split(",")]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        size = int(self.options.get("page_size", "1000"))
+        entries, complete = newest_first(lambda start: search_page(self.options["urls"], partition.value, start, size), self.options["since"], self.options.get("until"))
+        for e in entries:
+            yield ElementTree.tostring(e, encoding="unicode"), partition.value, complete
+        yield None, partition.value, complete  # the verdict stands even where nothing was found
+
+
+class SearchDataSource(DataSource):
+    """spark.read.format("skein_search").option("urls", ...).option("since", ...).load(): one XML entry a row, and one without for each query."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "skein_search"
+
+    def schema(self) -> str:
+        return "entry string, query string, complete boolean"
+
+    def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
+        return _SearchReader(dict(self.options))
+
+
+FORMATS = {"oai": "skein_oai", "api": "skein_search"}
+
+
+def source_format(config: dict[str, str]) -> str:
+    """The data source a configuration names; the search is the default."""
+    name = config.get("source", "api")
+    if name not in FORMATS:
+        raise ValueError(f"source must be one of {', '.join(sorted(FORMATS))}, not {name!r}")
+    return FORMATS[name]
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.options = options
@@ -110,4 +187,5 @@ class OaiDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(OaiDataSource)
+    for source in (OaiDataSource, SearchDataSource):
+        spark.dataSource.register(source)

@@ -83,7 +83,8 @@ def within(entries: DataFrame, since: str, until: str | None = None) -> DataFram
 def list_objects(spark: SparkSession, root: str, start_after: str | None = None) -> DataFrame:
     """(name, size, last_modified) of the files under root; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    name = F.regexp_replace("path", "^.*" + root.rstrip("/").split("/")[-1] + "/", "")
+    base = root.split("://")[-1].strip("/") + "/"  # after its first occurrence the name begins, whatever folders it has
+    name = F.substr("path", F.position(F.lit(base), F.col("path")) + F.lit(len(base)))
     listing = files.select(name.alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
     return listing if start_after is None else listing.where(F.col("name") > start_after)
 

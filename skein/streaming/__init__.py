@@ -44,6 +44,29 @@ def stream_log(spark: SparkSession, root: str) -> DataFrame:
     return lines.select(fallback_in_line(F.col("value")).alias("f")).where("f.id is not null").select("f.*")
 
 
+def stream_done(done: DataFrame, device: str, root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Publish a stream of finished ids (arxiv_id) as gzip'd journal segments root/device=<d>/seq=<batch>.
+
+    A batch's segment replaces itself, so a batch that is repeated after a failure is published once.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        batch.select(F.col("arxiv_id").alias("value")).write.mode("overwrite").option("compression", "gzip").text(f"{root}/{device}/{number:010d}")
+
+    return done.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def harvest(manifest_rows: DataFrame, fetched: DataFrame, complete: bool, watermark: str | None, dry_run: bool = False) -> tuple[DataFrame, DataFrame, str | None]:
+    """(new rows, updates as manifest.classify gives them, the next watermark) of one harvest run.
+
+    Days that are read again give rows that are known already, which neither count nor change anything.
+    """
+    new = manifest.insert_new(manifest_rows, fetched)
+    changed = manifest.classify_updates(manifest_rows, fetched)
+    latest = fetched.agg(F.max(F.col("date_updated").cast("string"))).first()[0]
+    return new, changed, next_watermark(watermark, latest, complete, dry_run)
+
+
 def next_start(watermark: str | None, latest: str | None, overlap: int, told: str | None = None) -> str | None:
     """First day of the next harvest: as told, else the watermark or the latest date, less the overlap."""
     import datetime as dt
