@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from skein.llm.common import written
+from skein.llm.common import map_arrow, written
 
 #: Pivots, rows of an index block, width of the finest annulus as a share of the largest norm, blocks of a query group.
 PIVOTS, BLOCK_ROWS, FINE, GROUP = 64, 4096, 1 / 256, 32
@@ -61,7 +61,9 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, sq))
 
 
-def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_id", vector: str = "embedding", scale: float = 64.0, pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def top_k(
+    vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_id", vector: str = "embedding", scale: float = 64.0, pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS, visits: Callable[[DataFrame, int], None] | None = None
+) -> DataFrame:
     """(query_id long, rank int, vec_id long, score long): for each row whose id is divisible by `every` the k best other rows.
 
     The index sample is `pivots` vectors (those whose ids hash lowest); every vector is indexed. The
@@ -74,7 +76,9 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_i
     group. Results are exact. Repeated ids count as separate rows, but a query never meets a row with
     its own id. Vectors of a dimension other than the most common one, null or non-finite ones, and
     null ids take no part; ties go to the smaller id; extra columns are ignored; fewer than k rows
-    give them all; no rows give no rows.
+    give them all; no rows give no rows. visits is told (query_id, block) of all visits beyond a query's
+    own block, and the number of blocks: on vectors without clusters, as random directions are, the
+    triangle inequality leaves nearly all blocks, and the search reads them all.
     """
     spark = vectors.sparkSession
     ints = written(integer_vectors(vectors, vec_id, vector, scale), "vectors")
@@ -98,7 +102,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_i
                 dist = d[np.arange(len(d)), cell]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32)), pa.array(dist), pa.array((dist / (reach * FINE)).astype(np.int32))], ["vec_id", "v", "cell", "dist", "fine"])
 
-    keyed = written(ints.select("vec_id", "v").mapInArrow(assign, "vec_id long, v array<long>, cell int, dist double, fine int"), "index")
+    keyed = written(map_arrow(ints.select("vec_id", "v"), assign, "vec_id long, v array<long>, cell int, dist double, fine int", "topk"), "index")
     bins = sorted((r.cell, r.fine, r.n, r.low, r.high) for r in keyed.groupBy("cell", "fine").agg(F.count("*").alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high")).collect())
     # annuli: (first block, parts, cell, low, high); a bin above block_rows is split by hash into parts
     annuli: list[list] = []
@@ -129,13 +133,15 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_i
         for begin in range(0, len(at), 1024):
             part = at[begin : begin + 1024]
             s = scores(x[part], x)
-            lifted = _lifted(x[part], top)
-            near = _distances(lifted, centres)
+            # without a lift of its own a query's distances order the vectors exactly as its products do
+            flat = np.c_[x[part].astype(np.float64), np.zeros(len(part))]
+            own_norm = (flat * flat).sum(axis=1)
+            near = _distances(flat, centres)
             for i, p in enumerate(part):
                 others = np.flatnonzero(ids != ids[p])
                 pick = others[best(s[i, others], ids[others], k)]
                 if len(pick) >= k:
-                    bound = np.sqrt(max(0.0, 2 * top - 2.0 * float(s[i, pick[-1]]))) + 1e-6 * reach
+                    bound = np.sqrt(max(0.0, own_norm[i] + top - 2.0 * float(s[i, pick[-1]]))) + 1e-6 * reach
                     gap = np.maximum(low - near[i, cells], near[i, cells] - high)
                     needed = np.flatnonzero(gap <= bound)
                 else:
@@ -155,6 +161,8 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_i
     found = written(blocks.groupBy("block").applyInArrow(home, "query_id long, v array<long>, home long, target long, first_search boolean, vec_id long, score long"), "searched")
     near = found.where("first_search").select("query_id", "vec_id", "score")
     asks = found.where("not first_search").select("query_id", "v", F.floor(F.col("home") / GROUP).alias("group"), F.col("target").alias("block"))
+    if visits:
+        visits(asks.select("query_id", "block"), int(first[-1]))
     wanted = asks.select(F.col("block").alias("target"), F.col("group").alias("for_group")).distinct()
     sent = blocks.join(wanted, F.col("block") == F.col("target")).select(F.col("target").alias("to_block"), "for_group", "vec_id", "v")
 

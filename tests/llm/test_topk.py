@@ -36,3 +36,16 @@ def test_few_rows_and_none(spark):
 def test_large_components_stay_exact():
     q, x = np.array([[2**40, 3]]), np.array([[2**20, 1], [5, 2**50]])
     assert topk.scores(q, x).tolist() == [[2**60 + 3, 5 * 2**40 + 3 * 2**50]]
+
+
+def test_clustered_vectors_need_few_blocks(spark):
+    """Clusters far apart, of unlike norms: the bounds leave less than a fifth of the blocks, and the results are exact."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 16)) * rng.uniform(2, 4, size=(40, 1))
+    rows = [(i, [float(x) for x in centres[i % 40] + 0.02 * rng.normal(size=16)]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = []
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, k=10, block_rows=64, visits=lambda asks, blocks: seen.append((asks.count(), blocks))).collect())
+    assert got == slow(rows, 10, 20)
+    (asked, blocks), queries = seen[0], 200
+    assert blocks >= 60 and asked < 0.2 * queries * blocks
