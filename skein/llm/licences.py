@@ -54,12 +54,20 @@ Permission is granted to anyone to use this software for any purpose, including
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
 
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
 #: (licence id, text): a fixed registry; the join may broadcast it.
 KNOWN = (
     ("MIT", _PERMISSION), ("MIT", "MIT License\n\n" + _PERMISSION), ("MIT", "The MIT License (MIT)\n\n" + _PERMISSION),
     ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL), ("BSD-2-Clause", "BSD 2-Clause License\n\n" + _BSD_HEAD + _BSD_TAIL),
     ("BSD-3-Clause", _BSD_HEAD + _BSD_THIRD + _BSD_TAIL), ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_HEAD + _BSD_THIRD + _BSD_TAIL),
-    ("ISC", _ISC), ("ISC", "ISC License\n\n" + _ISC), ("Apache-2.0", _APACHE), ("GPL-3.0", _GPL3), ("Zlib", _ZLIB), ("Zlib", "zlib License\n\n" + _ZLIB),
+    ("ISC", _ISC), ("ISC", "ISC License\n\n" + _ISC), ("Apache-2.0", _APACHE), ("GPL-3.0", _GPL3), ("Zlib", _ZLIB), ("Zlib", "zlib License\n\n" + _ZLIB), ("Unlicense", _UNLICENSE), ("Unlicense", _UNLICENSE + "\n\nFor more information, please refer to <https://unlicense.org/>"),
     ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("Apache-2.0", "Released under the Apache License, Version 2.0."), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."), ("GPL-3.0", "Licensed under the GNU General Public License, version 3."), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
@@ -68,6 +76,36 @@ KNOWN = (
 )
 
 
+#: (licence id, digest of the normalised text) of long licences: as published, and without and with the closing line where an appendix follows.
+KNOWN_DIGESTS = (
+    ("Apache-2.0", "cc411e5c73676ae13e68bf0fe2c031a62b3a1ef56829577a7d168699686c1e7e"),
+    ("Apache-2.0", "f16a2c71cdef52763eb4e8d07430ba72c05356a4e2204a12f3995c1ee5d38fde"),
+    ("Apache-2.0", "bb9623a3f15021216105e0ed4e2426d8ef8863d7c5f58860ef1cd2bf983015cf"),
+    ("Artistic-1.0-Perl", "93aa47d57763801ed6e6a6591d4d4049a2c46794df90838023ceade56b569da0"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "835e93c269f96ffb287b3c8c1c5d41482a48fe84971237b192ae3d0f85299142"),
+    ("GFDL-1.3", "2d23a1792689607291f114da9fdb3b413c6ef2346dfb9e4fafe0c5cf9b969da3"),
+    ("GPL-1.0", "9e12a40a9b22c45d116f19e1746b08ea0b853519de3e03ceb780f2a36d5f388c"),
+    ("GPL-1.0", "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70"),
+    ("GPL-1.0", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),
+    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
+    ("GPL-2.0", "a1e7ba14d8d85807f384435b77f91e925decc43da128311c991c4f2337e44017"),
+    ("GPL-2.0", "e4d14510e41435c3eb12c255b72546a3cb9943f06f209c72bc30a19095b08999"),
+    ("GPL-3.0", "5272fb2d9117cba4ebb1b4a6612e61ab05ddddeff56bd30c3ac3798e23821b30"),
+    ("GPL-3.0", "f37d587507fc579524cb06d1130d5899891a978ee008cfc033b3b4d95da28bee"),
+    ("GPL-3.0", "f7bb29d9a31c3a1a68ccff0d8d9053350dc0b10b52b62d46d0f2e36a41e32975"),
+    ("LGPL-2.0", "b4114daa3dfa52e27e78b2c4e17acd58bf4381e812762f4ded0bcb8eabd1092c"),
+    ("LGPL-2.0", "e0de5033b5ad2a24c0a1a8b04f09e33038ffa62d2bef7178de2a3c6f5d56f499"),
+    ("LGPL-2.0", "ff773d8d898dfc51ae2dbf3baa20700673e8ceb153b13d26c525af34a59adf0c"),
+    ("LGPL-2.1", "294fb9ec58649c7eb0cf90fc2900ac1b28b82fb6da9d40d7599d6b7d399d4d2e"),
+    ("LGPL-2.1", "9bf9c99aeafbdbccd7456a00d574699e3deb41868375496cacbf170be719bebd"),
+    ("LGPL-2.1", "963f79d48038eed98d8341c84d8d3b765e99508a738d00654c0112f70a7c370c"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "1cfb6cca26abe2169c9c61164807107b2d4a0b64955a2cf2de46fad3483acda1"),
+    ("MPL-2.0", "3dacd2c104719e7227969cbdcc7d581518827199e830b9379627eec0a32f8ab7"),
+)
+
+
 def normalised(text: Column) -> Column:
     """Lower case, no copyright lines, one spelling, and words of letters and digits with one space between."""
     t = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "\n")
@@ -80,10 +118,11 @@ def digest(text: Column) -> Column:
     return F.sha2(normalised(text), 256)
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(licence, known_digest), each digest once."""
-    rows = spark.createDataFrame(list(known), "licence string, text string")
-    return rows.select(digest(F.col("text")).alias("known_digest"), "licence").groupBy("known_digest").agg(F.min("licence").alias("licence"))
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str, str], ...] = KNOWN_DIGESTS) -> DataFrame:
+    """(licence, known_digest), each digest once: of the texts, and those given as such."""
+    rows = spark.createDataFrame(list(known), "licence string, text string").select(digest(F.col("text")).alias("known_digest"), "licence")
+    given = spark.createDataFrame(list(digests), "licence string, known_digest string").select("known_digest", "licence")
+    return rows.unionByName(given).groupBy("known_digest").agg(F.min("licence").alias("licence"))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
@@ -118,8 +157,11 @@ def _sql_normalised(text: str) -> str:
 def oracle_sql(known: tuple[tuple[str, str], ...] = KNOWN) -> str:
     """The same scan for DuckDB."""
     values = ", ".join("('" + a + "', '" + b.replace("'", "''") + "')" for a, b in known)
+    given = ", ".join(f"('{a}', '{b}')" for a, b in KNOWN_DIGESTS)
     return f"""
-with registry as (select sha256({_sql_normalised("body")}) as known_digest, min(licence) as licence from (values {values}) k(licence, body) group by 1),
+with registry as (select known_digest, min(licence) as licence from (
+  select sha256({_sql_normalised("body")}) as known_digest, licence from (values {values}) k(licence, body)
+  union all select known_digest, licence from (values {given}) g(licence, known_digest)) group by 1),
 docs as (select row_number() over () as rn, doc_id, coalesce(text, '') as body from documents),
 lines as (select rn, unnest(string_split(body, chr(10))) as line from docs),
 notices as (select rn, string_agg(distinct licence, ',' order by licence) as found from lines
