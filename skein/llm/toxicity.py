@@ -24,7 +24,7 @@ _EDGE = " \t\n\r.,;:?\"'“”„‘’«»()[]{}<>-–—_/\\!|*#%&~^`=+"
 _STRIP = _EDGE.replace("+", "").replace("(", "")
 _OUTER = "".join(c for c in _STRIP if c not in LEET)
 _REPEAT = re.compile(r"([^\W\d_])\1")
-_SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*/]\S){3,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*/]{1,3}\S){3,}(?!\S)")
 _MIXED = re.compile(r"[^\W\d_].*[0-9@$!|+€(*#]|[0-9@$!|+€(*#].*[^\W\d_]")
 _SEPARATED = re.compile(r"^(?:\w[.\-_*/]){2,}\w$")
 _NO_WORD = re.compile(r"[^\w]+")
@@ -238,13 +238,14 @@ class ToxicityModel:
         return found
 
     def _features(self, tokens: Iterable[str]) -> list[float]:
+        """The highest word score, and sums of all of them that fall with their rank, so that a long text doesn't add up to a toxic one."""
         found: dict[str, float] = {}
         for t in tokens:
             if s := self._of(t):
                 bare = t.strip(_STRIP)
                 found[bare] = max(s, found.get(bare, 0.0))
-        scores = sorted(found.values(), reverse=True)[:8]
-        return [scores[0] if scores else 0.0, sum(scores[:3]), sum(scores)]
+        scores = sorted(found.values(), reverse=True)
+        return [scores[0] if scores else 0.0, sum(s / k for k, s in enumerate(scores, 1)), sum(s / k**0.5 for k, s in enumerate(scores, 1))]
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         if not texts:

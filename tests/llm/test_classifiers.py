@@ -1,6 +1,8 @@
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from skein.llm import licences, quality, toxicity
@@ -87,6 +89,21 @@ def test_licences(spark):
     assert licences.scan(df.limit(0)).collect() == []
 
 
+def test_long_licences_as_published(spark):
+    """Texts of the system's own licence folder, reflowed and with another head, are found whole."""
+    folder = Path("/usr/share/common-licenses")
+    if not (folder / "GPL-3").exists():
+        pytest.skip("no licence texts on this machine")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.3": "GFDL-1.3"}
+    texts = {f: (folder / f).read_text() for f in names}
+    rows = [(i, f, "Copyright (C) 2031 Somebody\n" + t.replace("\n\n", "\n \n ").replace("license", "LICENCE")) for i, (f, t) in enumerate(texts.items())]
+    rows += [(50, "Apache-2.0", texts["Apache-2.0"].split("END OF TERMS")[0]), (51, None, texts["GPL-3"] + "\nand one word"), (52, None, texts["MPL-2.0"][:-200])]
+    rows += [rows[0], rows[0]]  # repeated rows stay
+    df = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    got = sorted((r.doc_id, r.text_licence) for r in licences.scan(df).collect() if r.text_licence)
+    assert got == sorted((i, names[f]) for i, f, _ in rows if f)
+
+
 def toxicity_model():
     toxic = [(f"this is some text number {i} you stupid moron and idiot", 1) for i in range(60)]
     clean = [(f"this is some text number {i} with nothing bad in it at all, a fair day and a good walk", 0) for i in range(200)]
@@ -146,3 +163,10 @@ def test_doubled_letters_and_edge_signs_are_undone():
         assert any(word in restorer.restored(t) for t in restorer.tokens(f"hey {seen} you")), seen
     model = toxicity_model()
     assert np.allclose(model.score(["!diot", "iddiiot", "idiot!", "idiot idiot! *idiot*"]), model.score(["idiot"])[0])
+
+
+def test_wide_gaps_and_many_scores():
+    model = toxicity_model()
+    short = model.score(["idiot"])[0]
+    assert (model.score(["you i  d  i  o  t", "i - d - i - o - t", "i..d..i..o..t"]) > short - 1e-6).all()
+    assert model.score(["a  nice   day  to  go"])[0] < short - 0.1
