@@ -47,7 +47,7 @@ class TextEncoder:
     with an added token or a zero byte, and those of other kinds of tokenizers, are encoded whole.
     """
 
-    def __init__(self, path: str, cache_entries: int = 50_000):
+    def __init__(self, path: str, cache_entries: int = 100_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -93,17 +93,30 @@ class TextEncoder:
             ids = cache[key] = self._model_ids(lead + word)
         if len(word) == len(piece):
             return ids
-        points = piece[len(word) :]
+        return ids + self._points(piece[len(word) :])
+
+    def _points(self, points: str) -> bytes:
+        """Ids of closing points, kept."""
         if points not in self.points:
             if len(self.points) > 10_000:
                 self.points.clear()
             self.points[points] = self._model_ids(points)
-        return ids + self.points[points]
+        return self.points[points]
 
     def _learn(self, pieces: Iterable[str], cache: dict[str, bytes]) -> None:
         """Put the ids of pieces into the cache. One line feed between two simple parts is a pre-token of its own."""
         others = []
+        tokenize, code, points = self.model.tokenize, self.code, self.points
         for p in pieces:
+            word = p.rstrip(_PUNCTUATION)
+            if word.isascii() and word.isalpha():  # most pieces; what _simple does, without calls
+                ids = cache.get(word)
+                if ids is None:
+                    ids = cache[word] = array(code, [t.id for t in tokenize("Ġ" + word)]).tobytes()
+                if len(word) < len(p):
+                    end = p[len(word) :]
+                    cache[p] = ids + (points.get(end) or self._points(end))
+                continue
             lead, body = (" ", p) if p[:1] != _HEAD_SIGN else ("", p[1:])
             ids = self._simple(body, lead, cache)
             if ids is None and body.count("\n") == 1:
