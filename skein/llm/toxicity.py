@@ -197,8 +197,14 @@ class Words:
                 self.weight[g] = math.log(low / (1 - low))
 
     def of(self, word: str) -> float:
+        """The highest weight of its grams; weights are positive."""
         get = self.weight.get
-        return max((get(g, 0.0) for g in grams(word)), default=0.0)
+        best = get("=" + word, 0.0)
+        for n in range(4, min(10, len(word))):
+            found = get(word[:n], 0.0)
+            if found > best:
+                best = found
+        return best
 
 
 class ToxicityModel:
