@@ -48,6 +48,12 @@ def cross_listing(primary: DataFrame, every: DataFrame) -> DataFrame:
     return j.withColumn("ratio", F.bround(F.try_divide(F.col("n_all"), F.col("n_primary")), 3))
 
 
+def weighted_means(papers: DataFrame) -> DataFrame:
+    """One row from one pass: categories a paper, mean length of titles, share of papers never revised."""
+    n = F.greatest(F.count("*"), F.lit(1))
+    return papers.agg((F.sum(F.size("categories")) / n).alias("categories_per_paper"), (F.sum(F.length("title")) / n).alias("mean_title"), (F.count_if(F.col("n_versions") == 1) / n).alias("never_revised"))
+
+
 def centred_mean(series: DataFrame, order: str, value: str, before: int = 6, after: int = 5) -> DataFrame:
     """Rolling mean over a full window around each row, null where it isn't full. One row a period: small by nature."""
     w = W.orderBy(order).rowsBetween(-before, after)

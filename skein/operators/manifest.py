@@ -215,13 +215,22 @@ def migrate(snapshot: DataFrame, schema_defaults: dict[str, Column]) -> DataFram
     return out.withColumn("bucket", F.when(F.coalesce(F.col("bucket"), F.lit(-1)) < 0, ids.bucket_for(F.col("arxiv_id"))).otherwise(F.col("bucket"))) if "bucket" in out.columns else out.withColumn("bucket", ids.bucket_for(F.col("arxiv_id")))
 
 
-def verify(manifest: DataFrame, listing: DataFrame, refuse_above: float = 0.5) -> tuple[DataFrame, bool]:
-    """(missing files of done local papers as (arxiv_id, kind, name), whether to refuse a reset because too much is missing)."""
+def _due(manifest: DataFrame) -> DataFrame:
+    """(arxiv_id, kind, name) of the files that done local papers should have."""
     local = manifest.where((F.col("status") == "done") & ~F.col("remote_only"))
     kinds = F.filter(
         F.array(*(F.struct(F.lit(k).alias("kind"), ids.object_name(k, F.col("arxiv_id")).alias("name"), (F.lit(k != "tables") | (F.coalesce("n_tables", F.lit(0)) > 0)).alias("due")) for k in ("md", "tables", "meta"))), lambda x: x["due"]
     )
-    due = local.select("arxiv_id", F.explode(kinds).alias("f")).select("arxiv_id", "f.kind", "f.name")
-    missing = due.join(listing.select("name"), "name", "left_anti")
-    checked, lost = (rows.agg(F.countDistinct("arxiv_id")).first()[0] for rows in (due, missing))
-    return missing.select("arxiv_id", "kind", "name"), bool(checked) and lost / checked > refuse_above
+    return local.select("arxiv_id", F.explode(kinds).alias("f")).select("arxiv_id", "f.kind", "f.name")
+
+
+def missing_artefacts(manifest: DataFrame, listing: DataFrame) -> DataFrame:
+    """(arxiv_id, kind, name) of files that done local papers should have and the listing doesn't show."""
+    return _due(manifest).join(listing.select("name"), "name", "left_anti").select("arxiv_id", "kind", "name")
+
+
+def verify(manifest: DataFrame, listing: DataFrame, refuse_above: float = 0.5) -> tuple[DataFrame, bool]:
+    """(missing files, whether to refuse a reset because too many papers miss some); the flag takes two counts."""
+    missing = missing_artefacts(manifest, listing)
+    checked, lost = (rows.agg(F.countDistinct("arxiv_id")).first()[0] for rows in (_due(manifest), missing))
+    return missing, bool(checked) and lost / checked > refuse_above

@@ -143,11 +143,7 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(Q + "select sum(len(categories)) / count(*)::double as categories_per_paper, sum(length(title)) / greatest(count(*), 1)::double as mean_title, count(*) filter (where n_versions = 1) / count(*)::double as never_revised from papers")
 def weighted_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = an.counters(papers(spark, sf_dir))
-    mean = lambda name, x: c[name].agg((F.sum(F.col(x) * F.col("count")) / F.greatest(F.sum("count"), F.lit(1))).alias("m"))
-    titles = papers(spark, sf_dir).agg((F.sum(F.length("title")) / F.count("*")).alias("mean_title"))
-    never = c["n_versions"].agg((F.sum(F.when(F.col("n_versions") == 1, F.col("count")).otherwise(0)) / F.sum("count")).alias("never_revised"))
-    return mean("n_categories", "n_categories").withColumnRenamed("m", "categories_per_paper").join(titles).join(never)
+    return an.weighted_means(papers(spark, sf_dir))
 
 
 @query(Q + """, t as (select (length(title) // 10 * 10)::bigint as chars, count(*) as n from papers group by 1), cut as (select quantile_cont(chars, 0.999) as q from t)
