@@ -74,3 +74,10 @@ def test_query_on_the_whole_table(spark, sf):
         assert r.n_turns == len(turns) and r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
         assert (r.loss_chars, r.loss_sha256, r.formatted_chars) == (len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(T.format(turns)[0]))
     assert not conv
+
+
+def test_very_long_texts_come_back(spark):
+    said = "a </s> b\\ \n" * 200_000
+    df = spark.createDataFrame([(1, 0, "user", said), (1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    (r,) = chat.format_branches(chat.from_turns(df)).collect()
+    assert T.parse(r.formatted) == [("user", said), ("assistant", said)] and T.masked(r.formatted, [(s.start, s.length) for s in r.loss_spans]) == said

@@ -170,3 +170,15 @@ def test_wide_gaps_and_many_scores():
     short = model.score(["idiot"])[0]
     assert (model.score(["you i  d  i  o  t", "i - d - i - o - t", "i..d..i..o..t"]) > short - 1e-6).all()
     assert model.score(["a  nice   day  to  go"])[0] < short - 0.1
+
+
+def test_very_long_texts_are_read_to_their_end():
+    model = toxicity_model()
+    plain = "with nothing bad in it at all " * 100_000
+    clean, toxic = model.score([plain, plain + "you 1d10t and m o r o n"])
+    assert toxic > 0.5 > clean
+    good = [f"Some ordinary sentence number {i} about things, with commas and points." * 5 for i in range(80)]
+    bad = [("JUNK!! " * 40 + str(i)) for i in range(80)]
+    sizes = quality.Sizes(quality.train_dictionary([t.encode() for t in good]), quality.train_dictionary([t.encode() for t in bad]))
+    ends = [sizes.features("".join(good) * 50 + "".join(x) * 100)[0] for x in (good, bad)]
+    assert ends[0] > 0.01 + ends[1]  # what stands at the end counts

@@ -45,3 +45,18 @@ def test_stages_keep_the_columns(spark, sf):
     for _, stage in cp.STAGES[:-1]:
         assert stage(spark, docs, sf).columns == docs.columns
         assert stage(spark, docs.limit(0), sf).collect() == []
+
+
+def test_stages_with_nulls_repeats_long_texts_and_clashing_columns(spark, sf):
+    long = " ".join(f"word{i % 997} and so on" for i in range(60_000))
+    rows = [(1, long, "en", "a", len(long)), (2, None, None, None, None), (None, "no id", "en", "a", 5), (None, None, None, None, None), (3, "", "en", "b", 0), (4, "same words here again", "en", "b", 21), (4, "same words here again", "en", "b", 21)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("score", "slot", "fp", "component_id", "block", "root", "ids"):
+        docs = docs.withColumn(c, docs["n_chars"].cast("string"))
+    want = {"quality classifier": None, "SimHash near-dedup": 4, "benchmark decontamination": 7, "mixing sources to target weights": 7}
+    for name, stage in cp.STAGES[:-1]:
+        got = stage(spark, docs, sf)
+        n = len(got.collect())
+        assert got.columns == docs.columns and (want[name] is None or n == want[name]), name
+    got = cp.token_stage(spark, docs, sf).collect()
+    assert len(got) == len(rows) and sorted(r.start for r in got)[0] == 0 and sum(r.n_tokens == 1 for r in got) == 3
