@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
-import re
 import struct
 import zlib
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -28,26 +28,46 @@ BLOCK_TOKENS = 1 << 18
 CHECK_STEPS = 128
 MAGIC = b"SKR1"
 _HEAD = struct.Struct("<4sQHII")
+#: Longest piece whose ids the encoder keeps.
+KEPT_SIGNS = 64
 
+# white space but for space and line feed
+_ODD_SPACE = r"\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 # a space before white space, or at the end, doesn't go with what follows
-_SPACE_RUN = r" ([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
+_SPACE_RUN = rf" ([ \n{_ODD_SPACE}]|\z)"
+# any other line feed is a pre-token of its own
+_FEED_RUN = rf"[{_ODD_SPACE}]\n|\n[{_ODD_SPACE}]|\n\n([ \n]|\z)"
 _HEAD_SIGN = "\x00"
-_PUNCTUATION = ".,;:!?"
+_FIRST, _NONE = pa.scalar(_HEAD_SIGN, pa.large_string()), pa.scalar("", pa.large_string())
+# signs that are one pre-token together, after letters or digits
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Latin letters below U+0250, or digits: one pre-token with the space before
+_WORD = r"^\x00?([A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+|[0-9]+)\z"
 # byte-level models write each byte as one sign: visible Latin-1 as it is, the rest from U+0100 on
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTE_SIGNS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PLAIN)}
+_BYTE_SIGNS = {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _PLAIN)}
+#: The sign of each byte; a line feed stays, as it parts the words that are mapped together.
+_MAPPED = "".join("\n" if b == 10 else _BYTE_SIGNS.get(b, chr(b)) for b in range(256))
+
+
+def _runs(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """flat[start : start + len] of all starts, one after the other."""
+    ends = np.cumsum(lens)
+    return flat[np.repeat(starts - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class TextEncoder:
     """Ids of whole texts, equal to encode(text, add_special_tokens=False) of the tokenizers library.
 
     A byte-level BPE without normaliser splits text before it merges, and always before a single
-    space that a visible character follows. So texts are cut there, columns at a time; each distinct
-    piece is encoded once by the library, and a bounded cache keeps its ids. Texts with other spaces,
-    with an added token or a zero byte, and those of other kinds of tokenizers, are encoded whole.
+    space that a visible character follows and around a line feed with no other white space beside
+    it. So texts are cut there, columns at a time; each distinct piece is parted from its closing
+    signs, columns at a time too, and what is left is encoded once by the library, or by its model
+    alone if it is one word. A bounded cache keeps these ids. Texts with other spaces, with an added
+    token or a zero byte, and those of other kinds of tokenizers, are encoded whole.
     """
 
-    def __init__(self, path: str, cache_entries: int = 100_000):
+    def __init__(self, path: str, cache_entries: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -67,88 +87,65 @@ class TextEncoder:
         self.model, self.limit = self.tokenizer.model, cache_entries
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.points: dict[str, bytes] = {}
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.feed = self._model_ids("\n") if self.cut else b""
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _model_ids(self, pretoken: str) -> bytes:
-        """Ids of one pre-token by the library's model alone; its bytes are mapped to the model's signs here."""
-        if pretoken.isascii() and "\n" not in pretoken:
-            mapped = pretoken.replace(" ", "Ġ")
-        else:
-            mapped = pretoken.encode("utf-8").decode("latin-1").translate(_BYTE_SIGNS)
-        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
-
-    def _simple(self, piece: str, lead: str, cache: dict[str, bytes]) -> bytes | None:
-        """Ids of a word of Latin letters and its closing points, two pre-tokens; None for anything else."""
-        word = piece.rstrip(_PUNCTUATION)
-        if not word.isalpha() or not (word.isascii() or max(word) < "ɐ"):
-            return None
-        key = word if lead else _HEAD_SIGN + word
-        ids = cache.get(key)
-        if ids is None:
-            ids = cache[key] = self._model_ids(lead + word)
-        if len(word) == len(piece):
-            return ids
-        return ids + self._points(piece[len(word) :])
-
-    def _points(self, points: str) -> bytes:
-        """Ids of closing points, kept."""
-        if points not in self.points:
-            if len(self.points) > 10_000:
-                self.points.clear()
-            self.points[points] = self._model_ids(points)
-        return self.points[points]
-
-    def _learn(self, pieces: Iterable[str], cache: dict[str, bytes]) -> None:
-        """Put the ids of pieces into the cache. One line feed between two simple parts is a pre-token of its own."""
-        others = []
-        tokenize, code, points = self.model.tokenize, self.code, self.points
-        for p in pieces:
-            word = p.rstrip(_PUNCTUATION)
-            if word.isascii() and word.isalpha():  # most pieces; what _simple does, without calls
-                ids = cache.get(word)
-                if ids is None:
-                    ids = cache[word] = array(code, [t.id for t in tokenize("Ġ" + word)]).tobytes()
-                if len(word) < len(p):
-                    end = p[len(word) :]
-                    cache[p] = ids + (points.get(end) or self._points(end))
-                continue
-            lead, body = (" ", p) if p[:1] != _HEAD_SIGN else ("", p[1:])
-            ids = self._simple(body, lead, cache)
-            if ids is None and body.count("\n") == 1:
-                before, _, after = body.partition("\n")
-                first, second = self._simple(before, lead, cache), self._simple(after, "", cache)
-                if first is not None and second is not None:
-                    ids = first + self.feed + second
-            if ids is None:
-                others.append((p, lead + body))
-            else:
-                cache[p] = ids
-        cache.update(zip([p for p, _ in others], self._whole([t for _, t in others]), strict=True))
-
-    def _pieces_ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces; when the young cache is full it becomes the old one, and what is used moves back."""
+    def _learn(self, pieces: pa.Array) -> dict[str, bytes]:
+        """Ids of pieces; words by the library's model alone, their bytes are mapped to its signs here."""
+        one = pc.match_substring_regex(pieces, _WORD)
+        words, others = (pieces.filter(x).to_numpy(zero_copy_only=False).tolist() for x in (one, pc.invert(one)))
+        tokenize, code = self.model.tokenize, self.code
+        found: dict[str, bytes] = {}
+        if words:
+            lines = (" " + "\n ".join(words)).replace(" " + _HEAD_SIGN, "").encode()
+            mapped = codecs.charmap_decode(lines, "strict", _MAPPED)[0].split("\n")
+            found.update(zip(words, [array(code, [t.id for t in tokenize(x)]).tobytes() for x in mapped], strict=True))
+        if others:
+            found.update(zip(others, self._whole([p[1:] if p[:1] == _HEAD_SIGN else " " + p for p in others]), strict=True))
+        return found
+
+    def _known(self, pieces: pa.Array) -> list[bytes]:
+        """Ids of distinct pieces; when the young cache is full it becomes the old one, and what is used moves back. Long pieces seldom recur and aren't kept."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        ids = list(map(young.get, pieces))
+        names = pieces.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(young.get, names))
         if None in ids:
             missing = []
-            for p, x in zip(pieces, ids, strict=True):
+            for i, x in enumerate(ids):
                 if x is None:
-                    known = old.get(p)
+                    known = old.get(names[i])
                     if known is None:
-                        missing.append(p)
+                        missing.append(i)
                     else:
-                        young[p] = known
-            self._learn(missing, young)
-            ids = list(map(young.__getitem__, pieces))
+                        ids[i] = young[names[i]] = known
+            if missing:
+                found = self._learn(pieces.take(pa.array(missing)))
+                for i in missing:
+                    ids[i] = found[names[i]]
+                young.update(found if max(map(len, found)) <= KEPT_SIGNS else {p: x for p, x in found.items() if len(p) <= KEPT_SIGNS})
         return ids
 
+    def _pieces_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces one after the other, and their numbers; a word and its closing signs are two pre-tokens."""
+        stems = pc.ascii_rtrim(pieces, _SIGNS)
+        stems = pc.if_else(pc.match_substring_regex(stems, _WORD), stems, pieces)
+        lens = pc.subtract(pc.binary_length(pieces), pc.binary_length(stems)).to_numpy()
+        _, offsets, data = pieces.buffers()
+        ends = np.frombuffer(offsets, np.int64)[pieces.offset + 1 : pieces.offset + len(pieces) + 1]
+        signs = _runs(np.frombuffer(data, np.uint8), ends - lens, lens)
+        tails = pa.LargeStringArray.from_buffers(len(pieces), pa.py_buffer(np.r_[0, np.cumsum(lens)]), pa.py_buffer(signs))
+        stems, tails = stems.dictionary_encode(), pc.binary_join_element_wise(_FIRST, tails, _NONE).dictionary_encode()
+        known = self._known(stems.dictionary)
+        parts = [*known, *self._known(tails.dictionary)]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+        index = np.stack([stems.indices.to_numpy(), tails.indices.to_numpy() + len(known)], 1).ravel()
+        flat = _runs(np.frombuffer(b"".join(parts), self.dtype), (np.cumsum(sizes) - sizes)[index], sizes[index])
+        return flat, sizes[index].reshape(-1, 2).sum(1)
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string column; null is empty."""
         texts = pc.fill_null(texts, "")
@@ -164,16 +161,15 @@ class TextEncoder:
         at = np.flatnonzero(~whole.to_numpy(zero_copy_only=False))
         if len(at):
             plain = texts.take(pa.array(at)).cast(pa.large_string())
-            lists = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("", pa.large_string()), plain, pa.scalar(_HEAD_SIGN, pa.large_string())), " ")
+            apart = pc.replace_substring(plain, "\n", f" {_HEAD_SIGN}\n {_HEAD_SIGN}")
+            plain = pc.if_else(pc.match_substring_regex(plain, _FEED_RUN), plain, apart)
+            lists = pc.split_pattern(pc.binary_join_element_wise(_FIRST, plain, _NONE), " ")
             coded = lists.flatten().dictionary_encode()
-            ids = self._pieces_ids(coded.dictionary.to_pylist())
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-            flat = np.frombuffer(b"".join(ids), self.dtype)
-            first = np.cumsum(sizes) - sizes
+            flat, sizes = self._pieces_ids(coded.dictionary)
             index = coded.indices.to_numpy()
             lens = sizes[index]
             ends = np.cumsum(lens)
-            gathered = flat[np.repeat(first[index] - (ends - lens), lens) + np.arange(ends[-1])]
+            gathered = _runs(flat, (np.cumsum(sizes) - sizes)[index], lens)
             offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             bounds = np.r_[0, ends][offsets]
             for k, i in enumerate(at):
@@ -232,22 +228,25 @@ class Coder:
         lanes = max(1, min(lanes, n // 64))
         steps = -(-n // lanes)
         f, c = self.freq[ids], self.start[ids]
+        most, gap = f << np.uint64(63 - BITS), np.uint64(1 << BITS) - f
         x = np.full(lanes, LOW, np.uint64)
         words: list[np.ndarray] = []
         marks: list[tuple[int, bytes]] = []
         written_words = 0
-        top, low32, shift, bits = np.uint64(63 - BITS), np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(BITS)
+        shift = np.uint64(32)
         for step in range(steps - 1, -1, -1):
-            fs, cs = f[step * lanes : (step + 1) * lanes], c[step * lanes : (step + 1) * lanes]
-            xs = x[: len(fs)]
-            full = xs >= fs << top
-            out = xs[full]
-            if len(out):
-                words.append((out & low32).astype("<u4"))
+            at = slice(step * lanes, (step + 1) * lanes)
+            xs = x[: min(lanes, n - step * lanes)]
+            full = np.flatnonzero(xs >= most[at])
+            if len(full):
+                out = xs[full]
+                words.append(out.astype("<u4"))  # the low 32 bits
                 written_words += len(out)
                 xs[full] = out >> shift
-            q = xs // fs
-            xs[:] = (q << bits) + (xs - q * fs) + cs
+            q = xs // f[at]
+            q *= gap[at]  # (q << BITS) + (xs - q * f) is xs + q * gap
+            xs += q
+            xs += c[at]
             if step % check_steps == 0:
                 marks.append((written_words, x.astype("<u8").tobytes()))
         body = b"".join(
@@ -278,14 +277,16 @@ class Coder:
             for step in range(k * check_steps, min((k + 1) * check_steps, -(-n // lanes))):
                 xs = x[: min(lanes, n - step * lanes)]
                 slot = xs & mask
-                ids = self.symbol[slot]
+                ids = self.symbol.take(slot.view(np.int64))
                 out[step * lanes : step * lanes + len(xs)] = ids
-                xs[:] = self.freq[ids] * (xs >> bits) + slot - self.start[ids]
-                low = xs < LOW
-                need = int(np.count_nonzero(low))
-                if need:
-                    xs[low] = (xs[low] << shift) | words[left - need : left]
-                    left -= need
+                xs >>= bits
+                xs *= self.freq.take(ids)
+                xs += slot
+                xs -= self.start.take(ids)
+                low = np.flatnonzero(xs < LOW)
+                if len(low):
+                    xs[low] = (xs[low] << shift) | words[left - len(low) : left]
+                    left -= len(low)
         return out[begin:end]
 
 
@@ -293,7 +294,7 @@ _TOKENS = "shard int, block long, first long, doc_ids array<long>, lens array<lo
 _BLOCKS = "shard int, block long, first long, doc_ids array<long>, lens array<long>, payload binary"
 
 
-def _slices(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, column: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about `size` bytes of text each."""
     lens = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = (np.cumsum(lens, dtype=np.int64) - lens) // size

@@ -39,6 +39,33 @@ def test_encoder_on_real_texts(spark, sf):
     same([r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()])
 
 
+def test_a_word_is_encoded_once_whatever_closes_it():
+    words = [a + b for a in ("stone", "Größe", "the", "19", "éa") for b in ("", "r", "ly", "77", "ß")]
+    closings = ["", ".", ",", "***", ".$$$", "%)", "\n", ".\n", "!\n\n"]
+    rng = random.Random(1)
+    texts = ["".join(w + c + " " * (not c.endswith("\n")) for w in rng.sample(words, 25) for c in rng.sample(closings, 2)) + "end" for _ in range(40)]
+    texts += [" ".join(w + c for w in words for c in closings if "\n" not in c), None, ""]
+    encoder = tokens.TextEncoder(PATH)
+    got = encoder.encode(pa.array(texts, pa.string()))
+    assert [g.tolist() for g in got] == [LIBRARY.encode(t or "", add_special_tokens=False).ids for t in texts]
+    mixed = sum(not w.isalpha() and not w.isdigit() for w in words)  # of letters and digits: not one pre-token, kept with what closes them
+    assert len(encoder.young) <= 2 * (len(words) - mixed) + 2 * mixed * len(closings) + len(closings) + 5
+
+
+def test_long_pieces_are_not_kept():
+    texts = ["語" * 500 + " " + "x" * 65 + " " + "y" * 64 + ". z", "-" * 70 + "\n" + "é" * 64 + "-" * 63 + " " + "語z" * 40]
+    encoder = tokens.TextEncoder(PATH)
+    got = encoder.encode(pa.array(texts))
+    assert [g.tolist() for g in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(map(len, encoder.young)) == 64
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("aZ1\n\n\t\r\x1c\x85\u3000 .$'(\x00²ª×ɐ")), max_size=30), max_size=5))
+def test_encoder_on_odd_feeds_and_signs(texts):
+    same(texts)
+
+
 @pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 1000, 5000])
 def test_coder_round_trip_and_checkpoints(n):
     rng = random.Random(n)
