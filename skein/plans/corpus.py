@@ -20,7 +20,7 @@ Q = f"with {PAPERS}\n"
 from papers group by shard, bucket""")
 def shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = papers(spark, sf_dir).groupBy("shard", "bucket").agg(F.count("*").alias("papers"), F.sum("n_chars").alias("chars"))
-    return g.withColumn("running", F.sum("chars").over(W.partitionBy("shard").orderBy("bucket")))
+    return g.withColumn("running", F.sum("chars").over(W.partitionBy("shard").orderBy(F.asc_nulls_last("bucket"))))
 
 
 @query(Q + """select arxiv_id, primary_category, date_released from papers where list_has_any(categories, ['en.src1', 'de', 'fr.src2'])

@@ -3,6 +3,7 @@
 import shutil
 from collections import Counter
 
+import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -76,3 +77,17 @@ def test_trailing_means_of_every_order(spark, wide):
             want[key, m] = (n[key, m], round(sum(last) / len(last), 9))
     got = {(r.key, r.month.year * 12 + r.month.month - 1): (r.n, round(r.rolling, 9)) for r in registry.QUERIES["monthly_trailing_mean"](spark, wide).collect()}
     assert got == want
+
+
+def test_shards_of_every_id(spark, tmp_path):
+    """Ids around and far above 100,000, negative and null ones, and null sizes, against the query's SQL."""
+    found = [None, None, *range(-500, 300), *range(99_800, 100_200), 1_000_000, 123_456_789, 2**40, 2**63 - 1, -123_452, -(2**63)]
+    sizes = [None if k % 13 == 5 else k * 37 % 1000 for k in range(len(found))]
+    same = [["x"] * len(found)] * 3
+    pq.write_table(pa.table([pa.array(found, pa.int64()), *same, pa.array(sizes, pa.int64())], ["doc_id", "text", "lang", "source", "n_chars"]), tmp_path / "documents.parquet")
+    c = duckdb.connect()
+    c.sql(f"create view documents as select * from '{tmp_path}/documents.parquet'")
+    sql = c.sql(registry.ORACLES["shard_counts"])
+    got = Counter(tuple(r) for r in registry.QUERIES["shard_counts"](spark, str(tmp_path)).select(*sql.columns).collect())
+    assert got == Counter(sql.fetchall())
+    assert sum(r[2] for r in got.elements()) == len(found)
